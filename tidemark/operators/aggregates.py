@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.text import clean
 
@@ -28,6 +29,9 @@ def first_value(value: Column, order: Sequence[str | Column], where: Column | No
     return F.min_by(picked, F.when(picked.isNotNull(), ranking(order, picked)))
 
 
-def first_text(name: str, order: Sequence[str | Column]) -> Column:
-    """The first non-blank text of a column in ``order``."""
-    return first_value(clean(F.col(name)), order).alias(name)
+def first_present(df: DataFrame, name: str, order: Sequence[str | Column]) -> Column:
+    """The first value of a column in ``order`` that is neither null nor blank text."""
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, StringType):
+        value = clean(value)
+    return first_value(value, order).alias(name)

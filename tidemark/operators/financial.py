@@ -12,7 +12,7 @@ from tidemark import vocabulary as v
 from tidemark.functions.numbers import number, safe_ratio
 from tidemark.functions.text import clean, is_consolidated, is_current_year
 from tidemark.functions.times import to_utc
-from tidemark.operators.aggregates import first_text, ranking
+from tidemark.operators.aggregates import first_present, ranking
 from tidemark.operators.quality import require_columns
 
 _DOCUMENT_TEXTS = ("stock_code", "period_end", "known_at", "observed_at")
@@ -52,7 +52,7 @@ def picked_metrics(metrics: DataFrame, row_order: Sequence[str] = ()) -> DataFra
         F.min_by(F.when(F.col("metric") == m, value), F.when((F.col("metric") == m) & value.isNotNull(), rank)).alias(m)
         for m in v.RATIO_METRICS
     ]
-    texts = [first_text(name, row_order) for name in _DOCUMENT_TEXTS]
+    texts = [first_present(metrics, name, row_order) for name in _DOCUMENT_TEXTS]
     return metrics.groupBy("doc_id").agg(*texts, *picks)
 
 
@@ -93,7 +93,7 @@ def financial_features(metrics: DataFrame, row_order: Sequence[str] = ()) -> Dat
     cells = [F.struct(F.lit(name).alias("feature"), value.alias("value")) for name, value in _ratios().items()]
     present = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
     return documents.select(
-        F.col("period_end").alias("date"),
+        F.col("period_end").cast("string").alias("date"),
         F.col("stock_code").alias("ticker"),
         F.inline(present),
         to_utc(F.col("known_at")).alias("known_at"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as v
 from tidemark.functions.numbers import ratio_number, statement_number
 from tidemark.functions.text import clean, local_name
-from tidemark.operators.aggregates import first_text, first_value
+from tidemark.operators.aggregates import first_present, first_value
 from tidemark.operators.dimensions import metric_aliases
 from tidemark.operators.quality import require_columns
 
@@ -58,10 +58,10 @@ def _text_or_null(df: DataFrame, name: str) -> Column:
     return clean(F.col(name)) if name in df.columns else F.lit(None).cast("string")
 
 
-def _ordered_text(df: DataFrame, name: str, order: Sequence[str], output: str) -> Column:
+def _first_or_null(df: DataFrame, name: str, order: Sequence[str], output: str) -> Column:
     if name not in df.columns:
         return F.lit(None).cast("string").alias(output)
-    return first_text(name, order).alias(output)
+    return first_present(df, name, order).alias(output)
 
 
 def split_rejects(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -87,7 +87,7 @@ def financial_metrics(
     require_columns(facts, ["doc_id", "element_id", "value", "context_id"], "financial fact")
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
     documents = facts.groupBy("doc_id").agg(
-        *[_ordered_text(facts, name, row_order, name) for name in _STATEMENT_TEXTS]
+        *[_first_or_null(facts, name, row_order, name) for name in _STATEMENT_TEXTS]
     )
     matched = (
         facts.select(
@@ -133,7 +133,7 @@ def ownership_summary(
 
     key = F.lit(None).cast("string") if source_key is None else F.min(source_key)
     documents = facts.groupBy("doc_id").agg(
-        *[_ordered_text(facts, name, row_order, output) for name, output in _REPORT_TEXTS.items()],
+        *[_first_or_null(facts, name, row_order, output) for name, output in _REPORT_TEXTS.items()],
         *[field(names).alias(name) for name, names in v.OWNERSHIP_DOCUMENT_ELEMENTS.items()],
         key.alias("source_parquet_key"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import finite
 from tidemark.functions.text import clean
 from tidemark.functions.times import to_utc
-from tidemark.operators.aggregates import first_text, ranking
+from tidemark.operators.aggregates import first_present, ranking
 from tidemark.operators.quality import require_columns
 
 FEATURE = "ownership_ratio_change"
@@ -39,13 +39,13 @@ def ownership_features(ownership: DataFrame, row_order: Sequence[str] = ()) -> D
     chosen = F.min_by(
         F.struct("__change", "__holder"), F.when(F.col("__change").isNotNull(), largest_first)
     ).alias("__chosen")
-    texts = [first_text(c, row_order) for c in ("issuer_stock_code", "known_at", "observed_at")]
+    texts = [first_present(ownership, c, row_order) for c in ("issuer_stock_code", "known_at", "observed_at")]
     if "filing_date" in ownership.columns:
-        texts.append(first_text("filing_date", row_order))
+        texts.append(first_present(ownership, "filing_date", row_order))
     documents = rows.groupBy("doc_id").agg(*texts, chosen)
 
-    known_day = F.substring("known_at", 1, 10)
-    filed = F.coalesce(F.col("filing_date"), known_day) if "filing_date" in ownership.columns else known_day
+    known_day = F.substring(F.col("known_at").cast("string"), 1, 10)
+    filed = F.coalesce(F.col("filing_date").cast("string"), known_day) if "filing_date" in ownership.columns else known_day
     return documents.select(
         filed.alias("date"),
         F.col("issuer_stock_code").alias("ticker"),

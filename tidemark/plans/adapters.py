@@ -1,7 +1,7 @@
 """Views of the sample tables in the shapes the operators expect.
 
-Each reads whole tables and stays lazy.  Stamps are ISO text, as providers
-deliver them.
+Each reads whole tables and stays lazy.  Stored tables carry typed stamps; the
+list and disclosure adapters carry ISO text, as providers deliver it.
 """
 
 from __future__ import annotations
@@ -43,6 +43,11 @@ def stamp_text(moment: Column | str, clock: str = "06:00:00") -> Column:
     return F.concat(day_text(moment), F.lit(f"T{clock}Z"))
 
 
+def at_six(day: Column | str) -> Column:
+    """Six o'clock UTC of a date or timestamp column's day."""
+    return F.to_date(day).cast("timestamp") + F.expr("INTERVAL 6 HOURS")
+
+
 def later(name: str, days: int) -> Column:
     return F.date_add(F.to_date(name), days)
 
@@ -63,12 +68,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("AdjC"), F.sum("l_extendedprice").alias("Va")
     )
     return daily.select(
-        day_text("day").alias("Date"),
+        F.col("day").alias("Date"),
         F.concat(F.lpad(F.col("l_suppkey").cast("string"), 4, "0"), F.lit("0")).alias("Code"),
         "AdjC",
         "Va",
-        stamp_text("day").alias("known_at"),
-        stamp_text(later("day", LAG_DAYS)).alias("observed_at"),
+        at_six("day").alias("known_at"),
+        at_six(later("day", LAG_DAYS)).alias("observed_at"),
     )
 
 
@@ -104,9 +109,9 @@ def statement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), part_code).alias("doc_id"),
         F.when(flag == "R", "").otherwise(part_code).alias("stock_code"),
         pick(["120", "130", "140"], F.col("l_partkey")).alias("doc_type_code"),
-        day_text("l_shipdate").alias("period_end"),
-        stamp_text("l_shipdate").alias("known_at"),
-        stamp_text(later("l_shipdate", 1)).alias("observed_at"),
+        F.to_date("l_shipdate").alias("period_end"),
+        at_six("l_shipdate").alias("known_at"),
+        at_six(later("l_shipdate", 1)).alias("observed_at"),
         pick(v.RATIO_METRICS, F.col("l_suppkey")).alias("metric"),
         F.when(F.col("l_quantity") > 2, F.col("l_extendedprice")).alias("numeric_value"),
         F.when(flag == "A", "CurrentYear").when(flag == "N", "Prior1Year").alias("relative_year"),
@@ -125,8 +130,8 @@ def ownership_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("doc_id"),
         F.lpad(F.col("l_orderkey").cast("string"), 6, "0").alias("issuer_stock_code"),
         F.when(F.col("l_linestatus") == "F", day_text("l_shipdate")).alias("filing_date"),
-        stamp_text("l_shipdate").alias("known_at"),
-        stamp_text(later("l_shipdate", 2)).alias("observed_at"),
+        at_six("l_shipdate").alias("known_at"),
+        at_six(later("l_shipdate", 2)).alias("observed_at"),
         F.concat(F.lit("Holder "), F.col("l_suppkey").cast("string")).alias("holder_name"),
         F.col("l_discount").alias("holding_ratio"),
         F.when(F.col("l_quantity") > 5, F.col("l_tax")).alias("previous_holding_ratio"),
@@ -248,6 +253,6 @@ def listing_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("0"), nation).alias("Mkt"),
         F.concat(F.lit("Market "), nation).alias("MktNm"),
         F.when(F.col("s_acctbal") > 0, "011").otherwise(" ").alias("ProdCat"),
-        stamp_text("last_ship").alias("known_at"),
-        stamp_text(later("last_ship", LAG_DAYS)).alias("observed_at"),
+        at_six("last_ship").alias("known_at"),
+        at_six(later("last_ship", LAG_DAYS)).alias("observed_at"),
     )

@@ -24,7 +24,7 @@ VERSION_KEYS = ["stock_code", "metric", "context_id", "relative_year", "consolid
 )
 def fil_asof(spark, sf_dir):
     known = pit.filter_asof(adapters.ownership_rows(spark, sf_dir), DECISION)
-    return known.select("doc_id", "holder_name", "known_at")
+    return report(known.select("doc_id", "holder_name", "known_at"))
 
 
 @query(
@@ -80,13 +80,14 @@ def pit_latest_fact(spark, sf_dir):
     metrics = adapters.statement_metrics(spark, sf_dir)
     stock = F.when(F.col("stock_code") != "", F.col("stock_code"))
     latest = pit.latest_fact(metrics.withColumn("stock_code", stock), DECISION)
-    return latest.select(*VERSION_KEYS, "doc_id", "known_at", "observed_at")
+    return report(latest.select(*VERSION_KEYS, "doc_id", "known_at", "observed_at"))
 
 
 def _metric_versions(spark, sf_dir):
     """Metric rows as features, with the repeats and broken stamps of the sample data left in."""
     rows = adapters.statement_metrics(spark, sf_dir)
-    known = F.when(F.col("l_broken"), F.concat(F.lit("?"), F.col("known_at"))).otherwise(F.col("known_at"))
+    written = times.iso_z(F.col("known_at"))
+    known = F.when(F.col("l_broken"), F.concat(F.lit("?"), written)).otherwise(written)
     return (
         rows.withColumn("l_broken", F.col("row_b") == 7)
         .withColumn("known_at", known)
@@ -122,7 +123,7 @@ def pit_validate(spark, sf_dir):
 )
 def qa_violations(spark, sf_dir):
     rows = adapters.statement_metrics(spark, sf_dir)
-    known = F.when(F.col("row_b") == 7, "not a stamp").otherwise(F.col("known_at"))
+    known = F.when(F.col("row_b") == 7, "not a stamp").otherwise(times.iso_z(F.col("known_at")))
     checks = {
         "missing_value": F.col("numeric_value").isNull(),
         "bad_known_at": times.to_utc(known).isNull(),
