@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import clean
+from tidemark.functions.text import strip
 
-_SEPARATORS = r"[,，\x{3000} ]"
-_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Texts are edited with character translation, which is one cheap pass, and each
+# value expression appears once: conditions only choose a sign or a divisor.
+_SEPARATORS = ",， \u3000"
 _WIDE_DIGITS, _DIGITS = "０１２３４５６７８９", "0123456789"
+_TRIANGLES = "△▲"
+_PERCENTS = "%％"
+_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _without_separators(value: Column) -> Column:
-    return F.regexp_replace(clean(value), _SEPARATORS, "")
-
-
-def _guarded_double(text: Column) -> Column:
+def _plain_double(text: Column) -> Column:
     return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
 
 
@@ -27,28 +27,24 @@ def statement_number(value: Column) -> Column:
     lone dash or triangle means no value.  Any other decoration is dropped, so
     a percent sign does not rescale.
     """
-    text = _without_separators(value)
-    absent = text.rlike(r"^[-－―—△▲]$")
-    triangle = text.rlike(r"^[△▲]")
-    body = F.regexp_replace(text, r"^[△▲]", "")
-    bracketed = body.rlike(r"(?s)^\(.*\)$")
-    digits = F.regexp_replace(body, r"[^0-9eE+\-.]", "")
-    parsed = digits.try_cast("double")
-    return F.when(~absent, F.when(triangle | bracketed, -parsed).otherwise(parsed))
+    text = F.translate(strip(value), _SEPARATORS, "")
+    digits = F.regexp_replace(text, r"[^0-9eE+\-.]", "")
+    triangle = text.startswith(_TRIANGLES[0]) | text.startswith(_TRIANGLES[1])
+    negative = triangle | (text.startswith("(") & text.endswith(")"))
+    return digits.try_cast("double") * F.when(negative, -1.0).otherwise(1.0)
 
 
 def ratio_number(value: Column) -> Column:
     """Number of an ownership form; a trailing percent sign divides by 100."""
-    text = F.translate(_without_separators(value), _WIDE_DIGITS, _DIGITS)
-    bare = F.regexp_replace(text, r"[%％]+\z", "")
-    parsed = _guarded_double(bare)
-    return F.when(text.rlike(r"[%％]\z"), parsed / 100.0).otherwise(parsed)
+    text = F.translate(strip(value), _WIDE_DIGITS + _SEPARATORS, _DIGITS)
+    percent = text.endswith(_PERCENTS[0]) | text.endswith(_PERCENTS[1])
+    return _plain_double(F.rtrim(text, F.lit(_PERCENTS))) / F.when(percent, 100.0).otherwise(1.0)
 
 
 def looks_numeric(value: Column) -> Column:
     """Whether a raw fact value reads as a number once decoration is removed."""
-    text = F.regexp_replace(_without_separators(value), r"[%％]", "")
-    text = F.translate(F.regexp_replace(text, r"[△▲]", "-"), _WIDE_DIGITS, _DIGITS)
+    shown = _WIDE_DIGITS + _TRIANGLES + _SEPARATORS + _PERCENTS
+    text = F.translate(strip(value), shown, _DIGITS + "-" * len(_TRIANGLES))
     return F.coalesce(text.rlike(_PLAIN_NUMBER), F.lit(False))
 
 

@@ -17,6 +17,9 @@ EDGE_SPACE = (
 # look-ahead refuses texts that are shorter than four once that ``.0`` is gone.
 _SECURITY_CODE = r"(?s)\A(?!.{2,3}\.0\z)(.{4})0?(?:\.0)?\z"
 
+# Either a whole five-character code with check digit, or only a trailing ``.0``.
+_CHECK_DIGIT_OR_DECIMAL = r"(?s)\A(?!.{3}\.0\z)(.{4})0(?:\.0)?\z|\.0\z"
+
 
 def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
@@ -43,8 +46,7 @@ def security_code(value: Column) -> Column:
 
 def disclosure_ticker(value: Column) -> Column:
     """Ticker of a disclosure row: cut ``XXXX0`` to four characters, keep anything else."""
-    text = clean_code(value)
-    return F.when((F.length(text) == 5) & text.endswith("0"), F.substring(text, 1, 4)).otherwise(text)
+    return blank_to_null(F.regexp_replace(strip(value), _CHECK_DIGIT_OR_DECIMAL, "$1"))
 
 
 def local_name(element_id: Column) -> Column:

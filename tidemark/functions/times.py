@@ -78,36 +78,29 @@ def known_from_update(value: Column) -> Column:
     return end_of_jst_day(update_day(value))
 
 
-def disclosure_time(value: Column) -> Column:
-    """``HH:mm:ss`` text of a disclosure time.
+def disclosure_clock(value: Column) -> Column:
+    """Clock text of a disclosure time, null when its shape is unknown.
 
-    The format follows from the shape of the text: with colons as written, six
-    digits as HHmmss, four digits as HHmm.  Anything else is the end of the
-    day, which can only delay availability.
+    The format follows from the shape: with colons as written, six digits as
+    HHmmss, four digits as HHmm.
     """
     text = clean(value)
-    compact = F.regexp_replace(text, ":", "")
-    shaped = F.when(text.rlike(r"^\d{1,2}:\d{1,2}(:\d{1,2})?$"), text).when(
-        text.rlike(r"^\d{6}$"), F.regexp_replace(compact, r"^(..)(..)(..)$", "$1:$2:$3")
-    ).when(text.rlike(r"^\d{4}$"), F.regexp_replace(compact, r"^(..)(..)$", "$1:$2"))
-    parts = F.split(shaped, ":")
-    padded = F.concat_ws(
-        ":",
-        F.lpad(F.get(parts, F.lit(0)), 2, "0"),
-        F.lpad(F.get(parts, F.lit(1)), 2, "0"),
-        F.lpad(F.coalesce(F.get(parts, F.lit(2)), F.lit("0")), 2, "0"),
+    return (
+        F.when(text.rlike(r"^\d{1,2}:\d{1,2}(:\d{1,2})?$"), text)
+        .when(text.rlike(r"^\d{6}$"), F.regexp_replace(text, r"^(..)(..)(..)$", "$1:$2:$3"))
+        .when(text.rlike(r"^\d{4}$"), F.regexp_replace(text, r"^(..)(..)$", "$1:$2"))
     )
-    valid = padded.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$")
-    return F.when(valid, padded).otherwise(_END_OF_DAY)
 
 
 def known_from_disclosure(day: Column, time: Column, fallback_day: Column) -> Column:
-    """Availability of a disclosure; without a usable date, the end of the fallback day."""
-    parsed = day.try_cast("date")
-    stamped = F.concat(F.date_format(parsed, "yyyy-MM-dd"), F.lit(" "), disclosure_time(time))
-    return F.when(parsed.isNotNull(), from_jst(stamped.try_cast("timestamp"))).otherwise(
-        end_of_jst_day(fallback_day)
-    )
+    """Availability of a disclosure.
+
+    An unusable time means the end of the day, which can only delay
+    availability; without a usable date it is the end of the fallback day.
+    """
+    date = F.date_format(day.try_cast("date"), "yyyy-MM-dd")
+    stamped = F.concat(date, F.lit(" "), disclosure_clock(time)).try_cast("timestamp")
+    return F.coalesce(from_jst(stamped), end_of_jst_day(day), end_of_jst_day(fallback_day))
 
 
 def known_from_filing(submitted: Column, operated: Column, observed: Column, processed: Column | None = None) -> Column:

@@ -21,17 +21,22 @@ def ranking(columns: Sequence[str | Column], *last: Column) -> Column:
     return F.struct(*[m.alias(f"k{i}") for i, m in enumerate(members)])
 
 
-def first_value(value: Column, order: Sequence[str | Column], where: Column | None = None) -> Column:
-    """The first non-null value in ``order``, among the rows that satisfy ``where``."""
-    picked = value if where is None else F.when(where, value)
-    if not order:
-        return F.min(picked)
-    return F.min_by(picked, F.when(picked.isNotNull(), ranking(order, picked)))
+def earliest(value: Column, order: Sequence[str | Column]) -> Column:
+    """Mergeable form of "first non-null value": the smallest (order, value) pair.
+
+    Reduce pairs further with ``min`` and read the result's field ``value``.
+    """
+    pair = F.struct(ranking(order).alias("rank") if order else F.lit(0).alias("rank"), value.alias("value"))
+    return F.min(F.when(value.isNotNull(), pair))
+
+
+def present(df: DataFrame, name: str) -> Column:
+    """A column with blank text as null; null throughout when the frame lacks it."""
+    if name not in df.columns:
+        return F.lit(None).cast("string")
+    return clean(F.col(name)) if isinstance(df.schema[name].dataType, StringType) else F.col(name)
 
 
 def first_present(df: DataFrame, name: str, order: Sequence[str | Column]) -> Column:
     """The first value of a column in ``order`` that is neither null nor blank text."""
-    value = F.col(name)
-    if isinstance(df.schema[name].dataType, StringType):
-        value = clean(value)
-    return first_value(value, order).alias(name)
+    return earliest(present(df, name), order)["value"].alias(name)

@@ -41,11 +41,13 @@ def assign_quantiles(
     high_is_good: bool = True,
     ties: Sequence[str] = ("ticker",),
     output: str = "quantile",
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Bucket 1..n per date by factor; n is the preferred end.
 
     Equal factors are ordered by ``ties``.  Dates with fewer usable rows than
-    buckets, and rows without a factor or a date, get null.
+    buckets, and rows without a factor or a date, get null.  ``sizes`` is a
+    measurement by date (an upper bound will do) that the caller already has.
     """
     if n_quantiles < 2:
         raise ValueError("n_quantiles must be at least 2")
@@ -55,7 +57,7 @@ def assign_quantiles(
     scored = df.withColumns({"__usable": usable, "__score": value if high_is_good else -value})
     # Unusable rows have one group per date and get no bucket.
     order = [F.col("__score").asc(), *[F.col(t).asc() for t in ties]]
-    ranked = sequence(scored, [date, "__usable"], order, seq="__rank", size="__size")
+    ranked = sequence(scored, [date, "__usable"], order, seq="__rank", size="__size", sizes=sizes)
     bucket = F.lit(1)
     for level in quantile_levels(n_quantiles):
         bucket = bucket + (F.col("__rank") > _rank_edge(F.col("__size"), level)).cast("int")

@@ -12,7 +12,7 @@ from tidemark import vocabulary as v
 from tidemark.functions.numbers import number, safe_ratio
 from tidemark.functions.text import clean, is_consolidated, is_current_year
 from tidemark.functions.times import to_utc
-from tidemark.operators.aggregates import first_present, ranking
+from tidemark.operators.aggregates import earliest, present, ranking
 from tidemark.operators.quality import require_columns
 
 _DOCUMENT_TEXTS = ("stock_code", "period_end", "known_at", "observed_at")
@@ -44,16 +44,19 @@ def preference(df: DataFrame) -> list[Column]:
 def picked_metrics(metrics: DataFrame, row_order: Sequence[str] = ()) -> DataFrame:
     """One row per document: its identity texts and the preferred value of each ratio input.
 
-    A single grouped aggregation; ``row_order`` decides between rows of equal preference.
+    Rows reduce to (document, metric) first, so the wide step sees at most one
+    row per metric; ``row_order`` decides between rows of equal preference.
     """
     value = number(F.col("numeric_value"))
-    rank = ranking([*preference(metrics), *row_order], value)
-    picks = [
-        F.min_by(F.when(F.col("metric") == m, value), F.when((F.col("metric") == m) & value.isNotNull(), rank)).alias(m)
-        for m in v.RATIO_METRICS
-    ]
-    texts = [first_present(metrics, name, row_order) for name in _DOCUMENT_TEXTS]
-    return metrics.groupBy("doc_id").agg(*texts, *picks)
+    choice = F.min_by(value, F.when(value.isNotNull(), ranking([*preference(metrics), *row_order], value)))
+    per_metric = metrics.groupBy("doc_id", "metric").agg(
+        choice.alias("__value"),
+        *[earliest(present(metrics, name), row_order).alias(name) for name in _DOCUMENT_TEXTS],
+    )
+    return per_metric.groupBy("doc_id").agg(
+        *[F.min(name)["value"].alias(name) for name in _DOCUMENT_TEXTS],
+        *[F.max(F.when(F.col("metric") == m, F.col("__value"))).alias(m) for m in v.RATIO_METRICS],
+    )
 
 
 def _ratios() -> dict[str, Column]:
@@ -91,11 +94,11 @@ def financial_features(metrics: DataFrame, row_order: Sequence[str] = ()) -> Dat
     require_columns(metrics, ["doc_id", *_DOCUMENT_TEXTS, "metric", "numeric_value"], "financial metric")
     documents = picked_metrics(metrics, row_order).dropna(subset=list(_DOCUMENT_TEXTS))
     cells = [F.struct(F.lit(name).alias("feature"), value.alias("value")) for name, value in _ratios().items()]
-    present = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
+    emitted = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
     return documents.select(
         F.col("period_end").cast("string").alias("date"),
         F.col("stock_code").alias("ticker"),
-        F.inline(present),
+        F.inline(emitted),
         to_utc(F.col("known_at")).alias("known_at"),
         to_utc(F.col("observed_at")).alias("observed_at"),
         F.col("doc_id").alias("source_doc_id"),

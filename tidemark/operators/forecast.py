@@ -9,7 +9,7 @@ from tidemark import vocabulary as v
 from tidemark.functions.numbers import finite
 from tidemark.functions.text import clean, disclosure_ticker
 from tidemark.functions.times import to_utc
-from tidemark.operators.ordered import first_of_group, last_before
+from tidemark.operators.ordered import first_of_group, group_sizes, last_before
 from tidemark.operators.quality import require_columns
 
 METRICS = tuple(v.FORECAST_FEATURES)
@@ -41,10 +41,10 @@ def _previous(name: str) -> str:
     return f"__previous_{name}"
 
 
-def _with_previous(rows: DataFrame, order: list[Column]) -> DataFrame:
+def _with_previous(rows: DataFrame, order: list[Column], sizes: tuple[int, int] | None = None) -> DataFrame:
     """Add the last explicit forecast of each metric and whether any disclosure came before."""
     earlier = {_previous(m): F.col(m) for m in METRICS}
-    return last_before(rows, KEY, order, {**earlier, "__seen": F.lit(True)})
+    return last_before(rows, KEY, order, {**earlier, "__seen": F.lit(True)}, sizes=sizes)
 
 
 def _emit(rows: DataFrame) -> DataFrame:
@@ -95,7 +95,10 @@ def forecast_revisions_with_state(
     The state holds, per (ticker, fiscal year end), the last explicit forecasts
     and the stamp reached.  Replayed or older disclosures change nothing.
     """
-    rows = advancing(disclosures(summary), state).withColumn("__carried", F.lit(False))
+    fresh = disclosures(summary)
+    # Advancing drops rows and the state adds one per key: this bounds every group.
+    largest, total = group_sizes(fresh, KEY)
+    rows = advancing(fresh, state).withColumn("__carried", F.lit(False))
     if state is not None:
         carried = state.select(
             *KEY,
@@ -108,7 +111,7 @@ def forecast_revisions_with_state(
         )
         rows = rows.unionByName(carried)
     order = [F.col("__carried").desc(), F.col("known_at").asc_nulls_first()]
-    features = _emit(_with_previous(rows, order).where(~F.col("__carried")))
+    features = _emit(_with_previous(rows, order, (largest + 1, 2 * total + 1)).where(~F.col("__carried")))
 
     position = F.struct((~F.col("__carried")).alias("fresh"), F.col("known_at"))
     latest = [F.max_by(m, F.when(F.col(m).isNotNull(), position)).alias(m) for m in METRICS]

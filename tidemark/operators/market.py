@@ -13,6 +13,7 @@ from tidemark.functions.times import to_utc
 from tidemark.operators.ordered import over_neighbours
 from tidemark.operators.quality import require_columns
 
+FEATURES = ("momentum_12_1", "amihud_20d", "avg_trading_value_20d")
 _KEYS = ["ticker"]
 _ORDER = ["date", "known_at", "observed_at", "price", "trading_value"]
 
@@ -50,11 +51,18 @@ def market_features(
     skip: int = 21,
     liquidity_window: int = 20,
     price_policy: str = "adjusted",
+    features: Sequence[str] = FEATURES,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Momentum, illiquidity and mean trading value in the common feature form.
 
     Momentum is known when its newest price was; all columns share one sort.
+    ``features`` limits the work to some of them; ``sizes`` is a measurement of
+    the prepared bars by ticker that the caller already has.
     """
+    unknown = set(features) - set(FEATURES)
+    if unknown or not features:
+        raise ValueError(f"unknown market features: {sorted(unknown)}")
     if lookback <= skip:
         raise ValueError("momentum lookback must exceed the skipped rows")
     if liquidity_window < 2:
@@ -84,30 +92,39 @@ def market_features(
             "window_observed": F.max("observed_at").over(frame),
         }
 
+    liquid = [f for f in features if f != "momentum_12_1"]
+    stages = [lags, illiquidity, rolling] if liquid else [lags]
     reach = max(lookback, liquidity_window)
     wide = over_neighbours(
-        prepare_bars(bars, price_policy), _KEYS, _ORDER, [lags, illiquidity, rolling], before=reach, after=0
+        prepare_bars(bars, price_policy), _KEYS, _ORDER, stages, before=reach, after=0, sizes=sizes
     )
-
-    def cell(feature, value, known, observed):
-        return F.struct(
-            F.lit(feature).alias("feature"),
-            F.col(value).alias("value"),
-            F.col(known).alias("known_at"),
-            F.col(observed).alias("observed_at"),
-        )
-
+    sources = {
+        "momentum_12_1": ("momentum", "momentum_known", "momentum_observed"),
+        "amihud_20d": ("amihud", "known_at", "window_observed"),
+        "avg_trading_value_20d": ("mean_value", "known_at", "window_observed"),
+    }
     cells = F.array(
-        cell("momentum_12_1", "momentum", "momentum_known", "momentum_observed"),
-        cell("amihud_20d", "amihud", "known_at", "window_observed"),
-        cell("avg_trading_value_20d", "mean_value", "known_at", "window_observed"),
+        *[
+            F.struct(
+                F.lit(name).alias("feature"),
+                F.col(value).alias("value"),
+                F.col(known).alias("known_at"),
+                F.col(observed).alias("observed_at"),
+            )
+            for name, (value, known, observed) in sources.items()
+            if name in features
+        ]
     )
     present = F.filter(cells, lambda c: c["value"].isNotNull())
     return wide.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "ticker", F.inline(present))
 
 
 def forward_returns(
-    bars: DataFrame, *, horizons: Sequence[int] = (21, 63), price_policy: str = "adjusted"
+    bars: DataFrame,
+    *,
+    horizons: Sequence[int] = (21, 63),
+    price_policy: str = "adjusted",
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Realised returns ``h`` rows ahead with decision and outcome availability.  Labels only."""
     horizons = [int(h) for h in horizons]
@@ -126,7 +143,7 @@ def forward_returns(
         }
 
     wide = over_neighbours(
-        prepare_bars(bars, price_policy), _KEYS, _ORDER, [leads], before=0, after=max(horizons)
+        prepare_bars(bars, price_policy), _KEYS, _ORDER, [leads], before=0, after=max(horizons), sizes=sizes
     )
     outcomes = F.filter(F.array(*[f"ahead_{h}" for h in horizons]), lambda c: c["forward_return"].isNotNull())
     return wide.select(

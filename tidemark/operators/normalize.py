@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as v
 from tidemark.functions.numbers import ratio_number, statement_number
 from tidemark.functions.text import clean, local_name
-from tidemark.operators.aggregates import first_present, first_value
+from tidemark.operators.aggregates import earliest, first_present, present
 from tidemark.operators.dimensions import metric_aliases
 from tidemark.operators.quality import require_columns
 
@@ -54,16 +54,6 @@ OWNERSHIP_COLUMNS = (
 )
 
 
-def _text_or_null(df: DataFrame, name: str) -> Column:
-    return clean(F.col(name)) if name in df.columns else F.lit(None).cast("string")
-
-
-def _first_or_null(df: DataFrame, name: str, order: Sequence[str], output: str) -> Column:
-    if name not in df.columns:
-        return F.lit(None).cast("string").alias(output)
-    return first_present(df, name, order).alias(output)
-
-
 def split_rejects(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with an ``error`` text naming the first failed check)."""
     failed = F.coalesce(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(text)) for text, bad in checks.items()])
@@ -87,13 +77,13 @@ def financial_metrics(
     require_columns(facts, ["doc_id", "element_id", "value", "context_id"], "financial fact")
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
     documents = facts.groupBy("doc_id").agg(
-        *[_first_or_null(facts, name, row_order, name) for name in _STATEMENT_TEXTS]
+        *[first_present(facts, name, row_order) for name in _STATEMENT_TEXTS]
     )
     matched = (
         facts.select(
             "doc_id",
             local_name(F.col("element_id")).alias("local_name"),
-            *[_text_or_null(facts, name).alias(name) for name in _FACT_TEXTS],
+            *[present(facts, name).alias(name) for name in _FACT_TEXTS],
             clean(F.col("value")).alias("raw_value"),
             (F.lit(None).cast("string") if source_key is None else source_key).alias("source_parquet_key"),
         )
@@ -122,20 +112,28 @@ def ownership_summary(
 ) -> DataFrame:
     """One row per substantial holder context; a document without any keeps one row of nulls.
 
-    Two grouped aggregations, per document and per (document, context); of
-    several aliases of a field the first row wins.
+    Facts reduce to one row per (document, context, field) before the fields
+    become columns; of several aliases of a field the first row wins.
     """
     require_columns(facts, ["doc_id", "doc_type_code", "element_id", "context_id", "value"], "ownership fact")
     local, value = local_name(F.col("element_id")), clean(F.col("value"))
+    key = F.lit(None).cast("string") if source_key is None else source_key
 
-    def field(names: Sequence[str]) -> Column:
-        return first_value(value, row_order, local.isin(*names))
+    def field_of(elements: Mapping[str, Sequence[str]]) -> Column:
+        return F.coalesce(*[F.when(local.isin(*names), F.lit(name)) for name, names in elements.items()])
 
-    key = F.lit(None).cast("string") if source_key is None else F.min(source_key)
-    documents = facts.groupBy("doc_id").agg(
-        *[_first_or_null(facts, name, row_order, output) for name, output in _REPORT_TEXTS.items()],
-        *[field(names).alias(name) for name, names in v.OWNERSHIP_DOCUMENT_ELEMENTS.items()],
-        key.alias("source_parquet_key"),
+    def columns_of(elements: Mapping[str, Sequence[str]]) -> list[Column]:
+        return [F.max(F.when(F.col("__field") == name, F.col("__first.value"))).alias(name) for name in elements]
+
+    by_field = facts.groupBy("doc_id", field_of(v.OWNERSHIP_DOCUMENT_ELEMENTS).alias("__field")).agg(
+        earliest(value, row_order).alias("__first"),
+        *[earliest(present(facts, name), row_order).alias(name) for name in _REPORT_TEXTS],
+        F.min(key).alias("source_parquet_key"),
+    )
+    documents = by_field.groupBy("doc_id").agg(
+        *[F.min(name)["value"].alias(output) for name, output in _REPORT_TEXTS.items()],
+        *columns_of(v.OWNERSHIP_DOCUMENT_ELEMENTS),
+        F.min("source_parquet_key").alias("source_parquet_key"),
     )
     title = F.coalesce("document_title", "doc_description", F.lit(""))
     documents = documents.withColumns(
@@ -151,16 +149,17 @@ def ownership_summary(
         }
     )
 
-    holder_names = [name for names in v.OWNERSHIP_HOLDER_ELEMENTS.values() for name in names]
-    contexts = (
-        facts.where(local.isin(*holder_names))
-        .groupBy("doc_id", "context_id")
-        .agg(
-            *[field(names).alias(name) for name, names in v.OWNERSHIP_HOLDER_ELEMENTS.items()],
-            F.sort_array(F.collect_set(F.when(clean(F.col("element_id")).isNotNull(), F.col("element_id")))).alias(
-                "evidence_element_ids"
-            ),
-        )
+    element = F.when(clean(F.col("element_id")).isNotNull(), F.col("element_id"))
+    context_fields = (
+        facts.withColumn("__field", field_of(v.OWNERSHIP_HOLDER_ELEMENTS))
+        .where(F.col("__field").isNotNull())
+        .groupBy("doc_id", "context_id", "__field")
+        .agg(earliest(value, row_order).alias("__first"), F.collect_set(element).alias("__elements"))
+    )
+    # At most one list of element ids per field reaches a context.
+    contexts = context_fields.groupBy("doc_id", "context_id").agg(
+        *columns_of(v.OWNERSHIP_HOLDER_ELEMENTS),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("__elements")))).alias("evidence_element_ids"),
     )
     holders = contexts.where(F.coalesce(*_SUBSTANTIAL).isNotNull()).select(
         "doc_id",

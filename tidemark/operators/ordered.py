@@ -42,6 +42,20 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return int(row["largest"] or 0), int(row["total"] or 0)
 
 
+def group_sizes_of(df: DataFrame, groupings: Sequence[Sequence[str]]) -> list[tuple[int, int]]:
+    """``group_sizes`` for several keys in one job."""
+    names = sorted({k for keys in groupings for k in keys})
+    sets = [[F.col(k) for k in keys] for keys in groupings]
+    counts = df.groupingSets(sets, *names).agg(F.grouping_id(*names).alias("which"), F.count(F.lit(1)).alias("n"))
+    rows = counts.groupBy("which").agg(F.max("n").alias("largest"), F.sum("n").alias("total")).collect()
+    found = {row["which"]: (int(row["largest"]), int(row["total"])) for row in rows}
+
+    def which(keys: Sequence[str]) -> int:
+        return sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in keys)
+
+    return [found.get(which(keys), (0, 0)) for keys in groupings]
+
+
 def _ascending(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).asc_nulls_first() for k in keys]
 

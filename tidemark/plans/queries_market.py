@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cross_section as xs
 from tidemark.operators import entities, market
+from tidemark.operators.ordered import group_sizes
 from tidemark.plans import adapters, research
 from tidemark.plans.oracle_views import day, quantile, stamp
 from tidemark.plans.registry import query, report
@@ -29,8 +30,7 @@ def ftr_bars(spark, sf_dir):
 
 
 def _feature(spark, sf_dir, name, places):
-    features = market.market_features(adapters.bars(spark, sf_dir)).where(F.col("feature") == name)
-    return report(features, places)
+    return report(market.market_features(adapters.bars(spark, sf_dir), features=[name]), places)
 
 
 @query(
@@ -84,8 +84,9 @@ def ftr_forward_returns(spark, sf_dir):
 )
 def jon_labels(spark, sf_dir):
     bars = adapters.bars(spark, sf_dir)
-    momentum = market.market_features(bars).where(F.col("feature") == "momentum_12_1")
-    paired = xs.attach_labels(momentum, market.forward_returns(bars))
+    sizes = group_sizes(market.prepare_bars(bars), ["ticker"])
+    momentum = market.market_features(bars, features=["momentum_12_1"], sizes=sizes)
+    paired = xs.attach_labels(momentum, market.forward_returns(bars, sizes=sizes))
     return report(paired.select("ticker", "date", "value", "horizon_trading_days", "forward_return"), 8)
 
 

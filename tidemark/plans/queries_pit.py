@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as v
 from tidemark.functions import times
 from tidemark.operators import changes, pit, quality
-from tidemark.operators.dimensions import orient_features
-from tidemark.operators.forecast import forecast_revisions
+from tidemark.operators.dimensions import feature_catalog, orient_features
+from tidemark.operators.forecast import forecast_revisions, forecast_revisions_with_state
 from tidemark.operators.ownership import ownership_features
 from tidemark.plans import adapters
 from tidemark.plans.oracle_views import ROW_ORDER, iso
 from tidemark.plans.registry import query, report
+from tidemark.session import ensure_checkpoint_dir
 
 DECISION = "2000-06-30T06:00:00Z"
 VERSION_KEYS = ["stock_code", "metric", "context_id", "relative_year", "consolidation"]
@@ -346,11 +347,11 @@ _ADVANCING = """(SELECT * EXCLUDE (rn) FROM (
 )
 def str_revision_batch(spark, sf_dir):
     """Two incremental runs; the second sees the first half again and must skip it."""
-    from tidemark.operators.forecast import forecast_revisions_with_state
-
     summary = adapters.forecast_summary(spark, sf_dir)
     _, state = forecast_revisions_with_state(summary.where(F.col("DiscDate") < _HALF))
-    features, _ = forecast_revisions_with_state(summary, state)
+    ensure_checkpoint_dir(spark)
+    # Between two runs the state is a stored table.
+    features, _ = forecast_revisions_with_state(summary, state.checkpoint())
     return report(features, 8)
 
 
@@ -366,8 +367,6 @@ def str_revision_batch(spark, sf_dir):
         GROUP BY 1, 2, 3""",
 )
 def ftr_catalog(spark, sf_dir):
-    from tidemark.operators.dimensions import feature_catalog
-
     named = {
         "net_income": "roe",
         "interest_bearing_debt": "net_debt",

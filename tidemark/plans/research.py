@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cross_section as xs
 from tidemark.operators.entities import filter_to_universe
-from tidemark.operators.market import forward_returns, market_features
+from tidemark.operators.market import forward_returns, market_features, prepare_bars
+from tidemark.operators.ordered import group_sizes_of
 
 
 def factor_spread(
@@ -18,6 +19,7 @@ def factor_spread(
     exposures: DataFrame | None = None,
     n_quantiles: int = 5,
     high_is_good: bool = True,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Long-short return per date of one feature.
 
@@ -33,7 +35,12 @@ def factor_spread(
         factors = xs.neutralize(factors.join(exposures, ["date", "ticker"], "left"))
         factor = "neutralized_factor"
     bucketed = xs.assign_quantiles(
-        factors, factor=factor, n_quantiles=n_quantiles, high_is_good=high_is_good, ties=["ticker", "known_at"]
+        factors,
+        factor=factor,
+        n_quantiles=n_quantiles,
+        high_is_good=high_is_good,
+        ties=["ticker", "known_at"],
+        sizes=sizes,
     ).where(F.col("quantile").isNotNull())
     realised = xs.attach_labels(bucketed, labels)
     means = realised.groupBy("date", "quantile").agg(F.avg("forward_return").alias("mean_return"))
@@ -42,5 +49,7 @@ def factor_spread(
 
 def momentum_spread(bars: DataFrame, *, horizon: int = 21, n_quantiles: int = 5) -> DataFrame:
     """Long-short return of 12-1 momentum per date."""
-    momentum = market_features(bars).where(F.col("feature") == "momentum_12_1")
-    return factor_spread(momentum, forward_returns(bars, horizons=[horizon]), n_quantiles=n_quantiles)
+    by_ticker, by_date = group_sizes_of(prepare_bars(bars), [["ticker"], ["date"]])
+    momentum = market_features(bars, features=["momentum_12_1"], sizes=by_ticker)
+    labels = forward_returns(bars, horizons=[horizon], sizes=by_ticker)
+    return factor_spread(momentum, labels, n_quantiles=n_quantiles, sizes=by_date)

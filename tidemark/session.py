@@ -14,7 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Above this size the JVM would interpret a generated method instead of compiling it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
