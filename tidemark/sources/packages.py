@@ -13,9 +13,10 @@ import itertools
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tidemark import vocabulary as v
 from tidemark.functions.text import content_hash
@@ -24,11 +25,16 @@ from tidemark.operators.quality import require_columns
 
 _ROWS_PER_BATCH = 20_000
 _ENCODINGS = ("utf-16", "utf-16-le", "utf-16-be")
-_LINEAGE = ("path", "package_sha256", "csv_file_name", "csv_sha256", "row_number", "error")
-_FACT_SCHEMA = (
-    "path string, package_sha256 string, csv_file_name string, csv_sha256 string, row_number long, error string, "
-    + ", ".join(f"{c} string" for c in v.FACT_COLUMNS)
-)
+_LINEAGE = {
+    "path": pa.string(),
+    "package_sha256": pa.string(),
+    "csv_file_name": pa.string(),
+    "csv_sha256": pa.string(),
+    "row_number": pa.int64(),
+    "error": pa.string(),
+}
+_ARROW_SCHEMA = pa.schema({**_LINEAGE, **dict.fromkeys(v.FACT_COLUMNS, pa.string())})
+_FACT_SCHEMA = from_arrow_schema(_ARROW_SCHEMA)
 
 
 def is_fact_member(name: str) -> bool:
@@ -82,18 +88,17 @@ def _package_rows(archive: zipfile.ZipFile, members: list[str]) -> Iterator[dict
             yield {"csv_file_name": name, "csv_sha256": digest, "row_number": number, "error": None, **row}
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [*_LINEAGE, *v.FACT_COLUMNS]
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for files in batches:
-        for file in files.itertuples(index=False):
-            lineage = {"path": file.path, "package_sha256": file.package_sha256}
+        for file in files.to_pylist():
+            lineage = {"path": file["path"], "package_sha256": file["package_sha256"]}
             try:
-                with zipfile.ZipFile(io.BytesIO(file.content)) as archive:
+                with zipfile.ZipFile(io.BytesIO(file["content"])) as archive:
                     rows = _package_rows(archive, check_package(archive))
-                    while batch := list(itertools.islice(rows, _ROWS_PER_BATCH)):
-                        yield pd.DataFrame(batch, columns=columns).assign(**lineage)
+                    while batch := [{**lineage, **row} for row in itertools.islice(rows, _ROWS_PER_BATCH)]:
+                        yield pa.RecordBatch.from_pylist(batch, schema=_ARROW_SCHEMA)
             except (ValueError, zipfile.BadZipFile, csv.Error) as problem:
-                yield pd.DataFrame([{**lineage, "error": str(problem)}], columns=columns)
+                yield pa.RecordBatch.from_pylist([{**lineage, "error": str(problem)}], schema=_ARROW_SCHEMA)
 
 
 def unpack_packages(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +114,7 @@ def unpack_packages(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", content_hash(F.col("content")).alias("package_sha256"), "content")
     )
-    return files.mapInPandas(_unpack, _FACT_SCHEMA)
+    return files.mapInArrow(_unpack, _FACT_SCHEMA)
 
 
 def read_fact_text(spark: SparkSession, path: str) -> DataFrame:

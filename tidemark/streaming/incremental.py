@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -20,10 +19,16 @@ from tidemark.operators.forecast import forecast_revisions_with_state
 from tidemark.sources.datasets import write_dataset
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write is at the path (its success marker), on any Hadoop file system."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def _exists(spark: SparkSession, path: str, name: str = "") -> bool:
+    """Whether a path, or a file in it, exists on whatever Hadoop file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}" if name else path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    """Whether a whole-folder write has committed."""
+    return _exists(spark, path, "_SUCCESS")
 
 
 def incoming_files(
@@ -66,11 +71,10 @@ def start_change_log(stream: DataFrame, snapshot: str, changes: str, checkpoint:
         batch.persist()
         try:
             log = f"{changes}/batch_id={batch_id}"
-            if not _exists(spark, log):
+            if not _finished(spark, log):
                 previous = None
                 if _exists(spark, snapshot):
-                    # Same column types as the batch: partition values are read back by inference.
-                    stored = spark.read.parquet(snapshot).withColumn("file_date", F.col("file_date").cast("string"))
+                    stored = spark.read.schema(batch.schema).parquet(snapshot)
                     previous = stored.join(batch.select("file_date").distinct(), "file_date", "left_semi")
                 write_dataset(filing_changes(batch, previous), log)
             write_dataset(batch, snapshot, ["file_date"])
@@ -95,7 +99,7 @@ def start_forecast_revisions(stream: DataFrame, features: str, state: str, check
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = f"{state}/version={batch_id - 1}"
-        known = spark.read.parquet(before) if batch_id > 0 and _exists(spark, before) else None
+        known = spark.read.parquet(before) if batch_id > 0 and _finished(spark, before) else None
         batch.persist()
         try:
             emitted, updated = forecast_revisions_with_state(batch, known)
