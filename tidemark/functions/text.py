@@ -51,7 +51,7 @@ def disclosure_ticker(value: Column) -> Column:
 
 def local_name(element_id: Column) -> Column:
     """The part of a qualified element name after its last colon."""
-    return F.regexp_extract(F.coalesce(element_id.cast("string"), F.lit("")), r"[^:]*\z", 0)
+    return F.substring_index(F.coalesce(element_id.cast("string"), F.lit("")), ":", -1)
 
 
 def first_ten(*candidates: Column) -> Column:

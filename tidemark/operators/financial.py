@@ -94,12 +94,12 @@ def financial_features(metrics: DataFrame, row_order: Sequence[str] = ()) -> Dat
     require_columns(metrics, ["doc_id", *_DOCUMENT_TEXTS, "metric", "numeric_value"], "financial metric")
     documents = picked_metrics(metrics, row_order).dropna(subset=list(_DOCUMENT_TEXTS))
     cells = [F.struct(F.lit(name).alias("feature"), value.alias("value")) for name, value in _ratios().items()]
-    emitted = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
-    return documents.select(
+    long = documents.select(
         F.col("period_end").cast("string").alias("date"),
         F.col("stock_code").alias("ticker"),
-        F.inline(emitted),
+        F.inline(F.array(*cells)),
         to_utc(F.col("known_at")).alias("known_at"),
         to_utc(F.col("observed_at")).alias("observed_at"),
         F.col("doc_id").alias("source_doc_id"),
     )
+    return long.where(F.col("value").isNotNull())

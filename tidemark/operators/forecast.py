@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,21 +58,21 @@ def _emit(rows: DataFrame) -> DataFrame:
         base = F.col(_previous(m))
         return F.try_divide(F.col(m) - base, F.abs(base))
 
-    signs = F.array_compact(F.array(*[F.when(both(m), F.signum(F.col(m) - F.col(_previous(m)))) for m in METRICS]))
-    total = F.aggregate(signs, F.lit(0.0), lambda acc, s: acc + s)
+    signs = [F.when(both(m), F.signum(F.col(m) - F.col(_previous(m)))).otherwise(0.0) for m in METRICS]
+    compared = [F.when(both(m), 1).otherwise(0) for m in METRICS]
     values = {name: revision(m) for m, name in v.FORECAST_FEATURES.items()}
-    values[v.BREADTH_FEATURE] = F.try_divide(total, F.size(signs))
+    values[v.BREADTH_FEATURE] = F.try_divide(reduce(add, signs), reduce(add, compared))
     cells = [F.struct(F.lit(name).alias("feature"), value.alias("value")) for name, value in values.items()]
-    present = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
-    return rows.where(F.col("__seen")).select(
+    long = rows.where(F.col("__seen")).select(
         F.col("disc_date").alias("date"),
         "ticker",
-        F.inline(present),
+        F.inline(F.array(*cells)),
         "known_at",
         "observed_at",
         F.col("cur_fy_end").alias("source_fiscal_year_end"),
         F.col("disc_no").alias("source_disc_no"),
     )
+    return long.where(F.col("value").isNotNull())
 
 
 def forecast_revisions(summary: DataFrame) -> DataFrame:

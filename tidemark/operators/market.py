@@ -115,8 +115,8 @@ def market_features(
             if name in features
         ]
     )
-    present = F.filter(cells, lambda c: c["value"].isNotNull())
-    return wide.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "ticker", F.inline(present))
+    long = wide.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "ticker", F.inline(cells))
+    return long.where(F.col("value").isNotNull())
 
 
 def forward_returns(
@@ -145,13 +145,13 @@ def forward_returns(
     wide = over_neighbours(
         prepare_bars(bars, price_policy), _KEYS, _ORDER, [leads], before=0, after=max(horizons), sizes=sizes
     )
-    outcomes = F.filter(F.array(*[f"ahead_{h}" for h in horizons]), lambda c: c["forward_return"].isNotNull())
-    return wide.select(
+    long = wide.select(
         F.date_format("date", "yyyy-MM-dd").alias("date"),
         "ticker",
         F.col("known_at").alias("decision_known_at"),
-        F.inline(outcomes),
-    ).select(
+        F.inline(F.array(*[f"ahead_{h}" for h in horizons])),
+    )
+    return long.where(F.col("forward_return").isNotNull() & F.col("outcome_known_at").isNotNull()).select(
         "date", "ticker", "horizon_trading_days", "forward_return",
         "decision_known_at", "outcome_known_at", "outcome_observed_at",
     )

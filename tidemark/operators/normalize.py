@@ -76,8 +76,12 @@ def financial_metrics(
     """
     require_columns(facts, ["doc_id", "element_id", "value", "context_id"], "financial fact")
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
+    texts = [name for name in _STATEMENT_TEXTS if name in facts.columns]
     documents = facts.groupBy("doc_id").agg(
-        *[first_present(facts, name, row_order) for name in _STATEMENT_TEXTS]
+        F.count(F.lit(1)).alias("__facts"), *[first_present(facts, name, row_order) for name in texts]
+    )
+    documents = documents.drop("__facts").withColumns(
+        {name: F.lit(None).cast("string") for name in _STATEMENT_TEXTS if name not in texts}
     )
     matched = (
         facts.select(
@@ -116,24 +120,35 @@ def ownership_summary(
     become columns; of several aliases of a field the first row wins.
     """
     require_columns(facts, ["doc_id", "doc_type_code", "element_id", "context_id", "value"], "ownership fact")
+    facts = facts.where(F.col("doc_id").isNotNull())
     local, value = local_name(F.col("element_id")), clean(F.col("value"))
+    # A context is substantial when one of these fields has a value in it, so whether a
+    # document has such a context at all is already visible in its facts.
+    evidence = local.isin(*[e for name in _SUBSTANTIAL for e in v.OWNERSHIP_HOLDER_ELEMENTS[name]]) & value.isNotNull()
     key = F.lit(None).cast("string") if source_key is None else source_key
 
     def field_of(elements: Mapping[str, Sequence[str]]) -> Column:
-        return F.coalesce(*[F.when(local.isin(*names), F.lit(name)) for name, names in elements.items()])
+        pairs = [F.lit(x) for name, names in elements.items() for element in names for x in (element, name)]
+        return F.try_element_at(F.create_map(*pairs), local)
 
     def columns_of(elements: Mapping[str, Sequence[str]]) -> list[Column]:
         return [F.max(F.when(F.col("__field") == name, F.col("__first.value"))).alias(name) for name in elements]
 
+    texts = [name for name in _REPORT_TEXTS if name in facts.columns]
     by_field = facts.groupBy("doc_id", field_of(v.OWNERSHIP_DOCUMENT_ELEMENTS).alias("__field")).agg(
         earliest(value, row_order).alias("__first"),
-        *[earliest(present(facts, name), row_order).alias(name) for name in _REPORT_TEXTS],
+        *[earliest(present(facts, name), row_order).alias(name) for name in texts],
         F.min(key).alias("source_parquet_key"),
+        F.max(evidence).alias("__held"),
     )
     documents = by_field.groupBy("doc_id").agg(
-        *[F.min(name)["value"].alias(output) for name, output in _REPORT_TEXTS.items()],
+        *[F.min(name)["value"].alias(_REPORT_TEXTS[name]) for name in texts],
         *columns_of(v.OWNERSHIP_DOCUMENT_ELEMENTS),
         F.min("source_parquet_key").alias("source_parquet_key"),
+        F.max("__held").alias("__held"),
+    )
+    documents = documents.withColumns(
+        {output: F.lit(None).cast("string") for name, output in _REPORT_TEXTS.items() if name not in texts}
     )
     title = F.coalesce("document_title", "doc_description", F.lit(""))
     documents = documents.withColumns(
@@ -174,7 +189,7 @@ def ownership_summary(
     found = documents.join(holders, "doc_id").withColumn(
         "holding_ratio_change", F.col("holding_ratio") - F.col("previous_holding_ratio")
     )
-    bare = documents.join(holders, "doc_id", "left_anti").withColumn(
+    bare = documents.where(~F.col("__held")).withColumn(
         "evidence_element_ids", F.array().cast("array<string>")
     )
     return found.unionByName(bare, allowMissingColumns=True).select(*OWNERSHIP_COLUMNS)

@@ -39,7 +39,8 @@ def flatten_tables(payloads: DataFrame, table_schema: StructType | str, run_id:
     """
     schema = _parse_datatype_string(table_schema) if isinstance(table_schema, str) else table_schema
     body = F.get_json_object("payload", f"$.{_TABLES}")
-    tables = payloads.withColumn("__table", F.explode(F.from_json(body, ArrayType(schema))))
+    tables = payloads.withColumn("__table", F.explode_outer(F.from_json(body, ArrayType(schema))))
+    tables = tables.where(F.col("__table").isNotNull())
     observed = to_utc(F.col("observed_at"))
     return tables.select(
         "search_term",

@@ -30,7 +30,8 @@ def read_document_list(payloads: DataFrame, run_id: str, *, strict: bool = True)
     failed = ~status.isin("", "200")
     if strict:
         reject_if_any(violations(parsed, {"failed_payloads": failed}), "document list")
-    records = parsed.where(~failed).withColumn("r", F.explode("__body.results"))
+    # The outer form keeps Spark from testing the parsed array before exploding it, a second parse.
+    records = parsed.withColumn("r", F.explode_outer("__body.results")).where(F.col("r").isNotNull() & ~failed)
     observed = to_utc(F.col("observed_at"))
     processed = F.col("__body.metadata.processDateTime")
     code = F.col("r.secCode")

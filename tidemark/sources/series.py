@@ -28,7 +28,9 @@ def series_value(text: Column) -> Column:
 def series_items(payloads: DataFrame) -> DataFrame:
     """One row per returned series.  ``payloads`` has ``dataset, db, payload`` and any lineage columns."""
     parsed = payloads.withColumn("__body", F.from_json("payload", RESPONSE_SCHEMA))
-    exploded = parsed.withColumn("item", F.explode("__body.RESULTSET")).drop("payload", "__body")
+    # The outer form keeps Spark from testing the parsed array before exploding it, a second parse.
+    exploded = parsed.withColumn("item", F.explode_outer("__body.RESULTSET")).drop("payload", "__body")
+    exploded = exploded.where(F.col("item").isNotNull())
     dates = F.coalesce(F.col("item.VALUES.SURVEY_DATES"), F.array().cast("array<string>"))
     values = F.coalesce(F.col("item.VALUES.VALUES"), F.array().cast("array<string>"))
     return exploded.withColumns({"survey_dates": dates, "survey_values": values})
