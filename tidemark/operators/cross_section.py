@@ -12,6 +12,7 @@ from tidemark.functions.numbers import number
 from tidemark.functions.times import to_utc
 from tidemark.operators.ordered import over_neighbours, sequence
 from tidemark.operators.quality import duplicate_rows, reject_if_any, require_columns, violations
+from tidemark.session import ensure_checkpoint_dir
 
 # Below these the spread of the residual, or of log size, is rounding noise.
 _SCALE_FLOOR = 1e-12
@@ -134,6 +135,10 @@ def neutralize(
             F.var_pop("__y").alias("var_y"),
         )
     )
+    # One row per (date, sector), read three times below: stored once, so that the
+    # input runs for these moments, the residual spread and the result, not more.
+    ensure_checkpoint_dir(df.sparkSession)
+    by_sector = by_sector.checkpoint()
     by_date = by_sector.groupBy("__date").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("sectors"),
