@@ -16,7 +16,17 @@ import numpy as np
 
 END_ID = 2
 _WIDE_SPACE = re.compile(r"\s \s|\s \Z")
-_STEM = re.compile(r"(.*[^\W_])([.,;:!?]+)", re.DOTALL)
+_MARKS = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for a byte: itself if printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class _Index(dict):
@@ -38,17 +48,22 @@ class PieceEncoder:
     ``limit`` bounds the cached pieces; when it is passed, pieces seen once are forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 750_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
+        self._model = self._tokenizer.model
+        if self._tokenizer.pre_tokenizer.pre_tokenize_str(" aé")[0][0] != " aé".encode().decode("latin-1").translate(_LETTERS):
+            raise ValueError("the vocabulary is not byte-level")
+        self._break = self._encode(["\n"])[0]
         self._limit = limit
         self._reset()
 
     def _reset(self) -> None:
         self._pieces = _Index()
+        self._marks: dict[str, list[int]] = {}
         self._ids = np.empty(0, np.int32)
         self._start = np.zeros(1, np.int64)
         self._seen = np.empty(0, np.int64)
@@ -62,7 +77,7 @@ class PieceEncoder:
             self._reset()
             return
         lengths = np.diff(self._start)[keep]
-        flat = self._ids[_ragged(self._start[keep], lengths)]
+        flat = self._ids[ragged(self._start[keep], lengths)]
         names = list(self._pieces)
         self._reset()
         for i in keep:
@@ -70,29 +85,65 @@ class PieceEncoder:
         self._ids, self._seen = flat, np.ones(len(keep), np.int64)
         self._start = np.concatenate(([0], np.cumsum(lengths)))
 
+    def _word(self, word: str, lead: str) -> list[int]:
+        """Ids of letters, after a space or not: the splitting rule keeps them whole, so the merges apply directly."""
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+        return [t.id for t in self._model.tokenize("\u0120" + spelled if lead else spelled)]
+
+    def _line(self, line: str, lead: str) -> list[int]:
+        """Ids of text without a line break; marks after a word are a token run of their own."""
+        if line.isalpha():
+            return self._word(line, lead)
+        word = line.rstrip(_MARKS)
+        if not word.isalpha():
+            return self._encode([lead + line])[0]
+        code = self._pieces.get(word, len(self._start)) if lead else len(self._start)
+        if code < len(self._start) - 1:
+            ids = self._ids[self._start[code] : self._start[code + 1]].tolist()
+        else:
+            ids = self._word(word, lead)
+        marks = line[len(word) :]
+        after = self._marks.get(marks)
+        if after is None:
+            after = self._marks[marks] = self._encode([marks])[0]
+        return ids + after
+
     def _fill(self) -> None:
-        """Encode the pieces that are new; punctuation after a letter is a token run of its own."""
-        stems = _Index()
-        plans: list[list[int]] = []
-        for piece in self._pieces.new:
-            parts = []
-            for k, line in enumerate(piece.split("\n") if re.fullmatch(r"\S+\n\S+", piece) else (piece,)):
-                head = " " if k == 0 else ""
-                if k:
-                    parts.append(stems["\n"])
-                match = _STEM.fullmatch(line)
-                parts += [stems[head + match[1]], stems[match[2]]] if match else [stems[head + line]]
-            plans.append(parts)
-        self._pieces.new.clear()
-        if not plans:
+        """Encode the pieces that are new; a line break between two words is a token of its own."""
+        if not self._pieces.new:
             return
-        ids = self._encode(stems.new)
-        new = [[i for part in parts for i in ids[part]] for parts in plans]
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter((i for row in new for i in row), np.int32, int(lengths.sum()))
-        self._ids = np.concatenate((self._ids, flat))
+        flat: list[int] = []
+        lengths = np.empty(len(self._pieces.new), np.int64)
+        for i, piece in enumerate(self._pieces.new):
+            before = len(flat)
+            line, broken, after = piece.partition("\n")
+            if not broken:
+                flat += self._line(piece, " ")
+            elif line and after and not line[-1].isspace() and not after[0].isspace():
+                flat += self._line(line, " ")
+                flat += self._break
+                flat += self._line(after, "") if "\n" not in after else self._encode([after])[0]
+            else:
+                flat += self._encode([" " + piece])[0]
+            lengths[i] = len(flat) - before
+        self._pieces.new.clear()
+        self._ids = np.concatenate((self._ids, np.asarray(flat, np.int32)))
         self._start = np.concatenate((self._start, self._start[-1] + np.cumsum(lengths)))
-        self._seen = np.concatenate((self._seen, np.zeros(len(new), np.int64)))
+        self._seen = np.concatenate((self._seen, np.zeros(len(lengths), np.int64)))
+
+    def _look_up(self, codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        self._fill()
+        code = np.fromiter(codes, np.int64, len(codes))
+        if len(code):
+            self._seen += np.bincount(code, minlength=len(self._seen))
+        lengths = self._start[code + 1] - self._start[code]
+        return self._ids[ragged(self._start[code], lengths)], lengths
+
+    def encode_words(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each as if a space stood before it, and their number per word."""
+        if len(self._pieces) > self._limit:
+            self._forget_rare()
+        return self._look_up(list(map(self._pieces.__getitem__, words)))
 
     def encode(self, texts: Sequence[str], end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order and their number per text; ``end`` is appended to each text."""
@@ -115,12 +166,7 @@ class PieceEncoder:
                 rows.append((before, len(codes) - before))
             else:
                 rows.append((len(codes), 0))
-        self._fill()
-        code = np.fromiter(codes, np.int64, len(codes))
-        if len(code):
-            self._seen += np.bincount(code, minlength=len(self._seen))
-        lengths = self._start[code + 1] - self._start[code]
-        body = self._ids[_ragged(self._start[code], lengths)]
+        body, lengths = self._look_up(codes)
         reach = np.concatenate(([0], np.cumsum(lengths)))
         tail_end = [] if end is None else [end]
         out, sizes = [], []
@@ -131,7 +177,7 @@ class PieceEncoder:
         return (np.concatenate(out) if out else np.empty(0, np.int32)), np.asarray(sizes, np.int64)
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``start, start + 1, ...`` of every run, one after another."""
     total = int(lengths.sum())
     if not total:
