@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, token_store
-from tidemark.llm.storage import scratch_path
-from tidemark.session import configure
+from tidemark.llm import chat_format, exact_dedup, language_id, lm_score, packing, token_store, url_filter
+from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +19,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     """Register a query and, where SQL can express it, its check."""
 
     def register(build: Build) -> Build:
-        QUERIES[name] = lambda spark, sf_dir: build(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: build(prepare(spark), sf_dir)
         if sql:
             ORACLES[name] = sql
         return build
@@ -44,3 +43,58 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(language_id.training_rows(docs))
+    held = fold("doc_id", 4) == 2
+    return language_id.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+OP3_SQL = r"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+), k AS (
+    SELECT doc_id, text_sha256,
+           first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM t
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM k
+"""
+
+
+@query("op3_exact_dedup", OP3_SQL)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row of the same text that stays, by way of a new digest index."""
+    index = exact_dedup.DigestIndex(spark, scratch_path(spark, "digest-index"))
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents"), index)
+
+
+@query("op4_url_filter")
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page: the longest rule that fits, else boosted trees."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op6_chat_format")
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, formatted, written and read back."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.read_digests(materialize(chat_format.format_turns(rows), "chat"))
+
+
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention scores of every document, learned from six of seven folds."""
+    return lm_score.score(table(spark, sf_dir, "documents"))

@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (used as pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import configure, ensure_checkpoint_dir
+
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the session settings and send this package to the workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="tidemark-")) / f"{root.name}.zip"  # the driver serves it
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return configure(spark)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
