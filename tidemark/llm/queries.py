@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat_format, exact_dedup, language_id, lm_score, packing, token_store, url_filter
+from tidemark.llm import chat_format, decontaminate, exact_dedup, language_id, lm_score, near_dedup, packing, token_store, url_filter
 from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,15 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and attention scores of every document, learned from six of seven folds."""
     return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query("op9_minhash_dedup")
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return near_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the share of the item that tiles cover."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
