@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, language_id, lm_score, near_dedup, packing, token_store, url_filter
+from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, token_store, url_filter
 from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,9 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the share of the item that tiles cover."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_html_extract")
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
