@@ -6,8 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing
-from tidemark.llm.storage import materialize, prepare
+from tidemark.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
+from tidemark.llm.storage import materialize, prepare, scratch_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model, fitted on the labelled ones, recognises."""
+    return language_id.keep_identified(docs, language_id.fit(docs))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, by way of a new digest index."""
+    index = exact_dedup.DigestIndex(spark, scratch_path(spark, "digest-index"))
+    return exact_dedup.drop_copies(docs, index)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,9 +37,15 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", pack_sequences)]
-
-# Language models and similarity joins cannot be stated in SQL; tests compare each stage with brute force.
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("minhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("best_fit_packing", pack_sequences),
+]
+
+# Language models, similarity joins and tokenizers cannot be stated in SQL; tests compare each stage with brute force.
 ORACLE_SQL: str | None = None
 
 

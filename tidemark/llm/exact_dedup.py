@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import documents, materialize
@@ -23,11 +23,17 @@ _SHIFT = "18446744073709551616BD"
 _TOP = "9223372036854775807BD"
 
 
+def text_digest(column: str) -> Column:
+    """SHA-256 of a text without ``[\\x20\\x09-\\x0D]``; null counts as empty."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.unhex(F.sha2(F.translate(text, _WHITE, "").cast("binary"), 256))
+
+
 def digests(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id, digest, chars`` and the named columns, one row per document."""
     return documents(docs, *columns).select(
         "doc_id",
-        F.unhex(F.sha2(F.translate("text", _WHITE, "").cast("binary"), 256)).alias("digest"),
+        text_digest("text").alias("digest"),
         F.length("text").alias("chars"),
         *columns,
     )
@@ -113,3 +119,16 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """The rows of ``docs`` that stay, in all their columns; of rows repeated under one id and text one stays."""
+    kept = deduplicate(docs, index).where("kept").select(
+        F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
+    )
+    mark, number = (f"{name}_{uuid.uuid4().hex}" for name in ("digest", "number"))
+    marked = docs.withColumn(mark, text_digest("text"))
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col("kept_id")) & (marked[mark] == F.col("kept_digest"))
+    stay = marked.join(kept, same, "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", mark).orderBy(F.lit(0)))
+    return stay.withColumn(number, first).where(F.col(number) == 1).drop(mark, number)

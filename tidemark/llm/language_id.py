@@ -254,3 +254,17 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 def training_rows(docs: DataFrame, parts: int = 4, held: int = 2) -> DataFrame:
     """Rows that may be learned from: all but one fold of the ids."""
     return docs.where(fold("doc_id", parts) != held)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel | None, min_score: float = 0.25) -> DataFrame:
+    """The documents whose language is found with ``min_score`` or more, in all their columns; nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            if sent.value is None:
+                continue
+            names, score = sent.value.predict(batch.column("text").fill_null(""))
+            yield batch.filter(pa.array((np.asarray(names, object) != UNDETERMINED) & (score >= min_score)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -292,3 +292,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = sketches.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     joined = rows.join(named, "set_key", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """The documents that stay, one of each component, in all their columns."""
+    kept = deduplicate(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
