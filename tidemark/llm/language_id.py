@@ -180,11 +180,15 @@ def fit(docs: DataFrame, label: str = "lang", per_language: int = 300) -> Langua
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"), F.col("text"))
     rows = rows.where(F.col("label").isNotNull() & (F.length("text") > 0))
-    # The choice reads no text; ties of the hash are broken by the id, so repeated rows stay together.
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "label").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    # The choice reads no text.  It is made among parts of each language first, so that no task gets candidates from all.
+    key = rows.select("doc_id", "label", F.xxhash64("doc_id").alias("key")).distinct()
+    key = key.withColumn("part", F.pmod("key", F.lit(512)))
+    for group in (("label", "part"), ("label",)):
+        order = Window.partitionBy(*group).orderBy("key", "doc_id")
+        key = key.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    chosen = key
     # per_language ids for each language.
-    sample = rows.join(F.broadcast(chosen.select("doc_id", "label").distinct()), ["doc_id", "label"], "left_semi")
+    sample = rows.join(F.broadcast(chosen.select("doc_id", "label")), ["doc_id", "label"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
