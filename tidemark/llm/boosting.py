@@ -30,8 +30,8 @@ class Trees:
 
 
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, *, trees: int = 40, depth: int = 4, rate: float = 0.25,
-    bins: int = 32, ridge: float = 1.0,
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, *, trees: int = 60, depth: int = 4, rate: float = 0.2,
+    bins: int = 16, ridge: float = 1.0,
 ) -> Trees:
     """Second-order boosting of the logistic loss; a node that no split improves sends all rows left."""
     n, width = x.shape

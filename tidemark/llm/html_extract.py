@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Trees, fit_trees
 from tidemark.llm.dom import Node, parse
-from tidemark.llm.layouts import labelled_layouts
+from tidemark.llm.layouts import MARK, labelled_layouts
 from tidemark.llm.storage import slices
 
 # Attribute tokens by what they tell.
@@ -227,7 +227,7 @@ def fit(examples: list[tuple[Page, np.ndarray]]) -> Extractor:
     return Extractor(fit_trees(x[known], (y[known] != 2).astype(float)), fit_trees(x[pure], y[pure].astype(float)))
 
 
-def train(pages: DataFrame, *, sample: int = 300, layouts: int = 300) -> Extractor:
+def train(pages: DataFrame, *, sample: int = 200, layouts: int = 1200) -> Extractor:
     """Fit on ``layouts`` labelled layouts and at most ``sample`` pages, labelled where their markup states the kind.
 
     The pages are those with the smallest hash of their id, at every size; null pages are left out.
@@ -240,18 +240,18 @@ def train(pages: DataFrame, *, sample: int = 300, layouts: int = 300) -> Extract
     for row in taken:
         page = describe(parse(row["html"]))
         examples.append((page, seed_labels(page)))
-    for html, marks in labelled_layouts(layouts):
+    for html in labelled_layouts(layouts):
         page = describe(parse(html))
-        examples.append((page, _layout_labels(page, marks)))
+        examples.append((page, layout_labels(page)))
     return fit(examples)
 
 
-def _layout_labels(page: Page, marks: frozenset[str]) -> np.ndarray:
-    """Labels from the words that stand only in article text."""
+def layout_labels(page: Page) -> np.ndarray:
+    """Labels of a layout's blocks from the mark that its article text holds."""
     inside: list[set[int]] = [set() for _ in page.nodes]
     for i in range(len(page.nodes) - 1, -1, -1):
         for text in page.nodes[i].texts():
-            inside[i].add(int(not marks.isdisjoint(text.split())))
+            inside[i].add(int(MARK in text))
         if page.parent[i] >= 0:
             inside[page.parent[i]] |= inside[i]
     return np.asarray([2 if len(s) == 2 else next(iter(s), -1) for s in inside])

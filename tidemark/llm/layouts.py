@@ -58,12 +58,15 @@ def _other(rng: random.Random, kind: str) -> str:
     return _wrap(opening, body)
 
 
-def labelled_layouts(count: int, seed: int = 5) -> Iterator[tuple[str, frozenset[str]]]:
-    """``count`` pages, each with the words that stand in its article text only (marked by a capital Q in them)."""
+#: Invisible, in every block of article text and nowhere else; no feature tells it from a letter.
+MARK = "\u2060"
+
+
+def labelled_layouts(count: int, seed: int = 5) -> Iterator[str]:
+    """``count`` pages whose article blocks hold ``MARK``."""
     rng = random.Random(seed)
-    for number in range(count):
-        mark = f"Q{number}q"
-        say = lambda low, high: f"{mark} {_words(rng, low, high)}"
+    for _ in range(count):
+        say = lambda low, high: MARK + _words(rng, low, high)
         blocks = [f"<h1>{say(2, 10)}</h1>"] if rng.random() < 0.8 else []
         for _ in range(rng.randint(1, 9)):
             style = rng.random()
@@ -78,11 +81,13 @@ def labelled_layouts(count: int, seed: int = 5) -> Iterator[tuple[str, frozenset
         inner = [_other(rng, rng.choice(("advert", "notice", "side", "comments", "form"))) for _ in range(rng.choice((0, 0, 1, 2)))]
         for part in inner:
             blocks.insert(rng.randint(0, len(blocks)), part)
-        article = _wrap(rng.choice(ARTICLE), "".join(blocks))
+        article = "".join(blocks) if rng.random() < 0.08 else _wrap(rng.choice(ARTICLE), "".join(blocks))
         if rng.random() < 0.3:
             article = _wrap(rng.choice(("div", 'div class="wrapper"', 'div id="page"', "main")), article)
-        before = [_other(rng, k) for k in ("head", "menu", "notice", "advert", "form") if rng.random() < 0.5]
-        after = [_other(rng, k) for k in ("side", "comments", "advert", "menu", "foot", "form") if rng.random() < 0.5]
-        if rng.random() < 0.7:
-            after.append(_other(rng, "foot"))
-        yield f"<html><body>{''.join(before)}{article}{''.join(after)}</body></html>", frozenset([mark])
+        busy = rng.choice((0.0, 0.2, 0.5, 0.8))
+        before = [_other(rng, k) for k in ("head", "menu", "notice", "advert", "form") if rng.random() < busy]
+        after = [_other(rng, k) for k in ("side", "comments", "advert", "menu", "foot", "form", "foot") if rng.random() < busy]
+        if rng.random() < 0.2:  # a column beside the article, both in one block
+            article = _wrap(rng.choice(("div", 'div class="row"', "section")), article + after.pop() if after else article)
+        page = "".join(before) + article + "".join(after)
+        yield rng.choice(("<html><body>{}</body></html>", "<body>{}", "{}")).format(page)
