@@ -220,7 +220,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int = SHINGLE, percent: in
         .union(dealt.select("component", "part", F.col("b").alias("doc_id")))
         .distinct()
     )
-    texts = needs.join(documents(docs), "doc_id")
+    texts = needs.join(documents(docs).hint("merge"), "doc_id")  # alike at every size
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2_000_000):
