@@ -28,8 +28,9 @@ SHINGLE = 5
 PERCENT = 75
 TREES, DEPTH = 12, 8
 REACH = 48
-#: Estimated similarity below which a pair is not looked at, and from which one link per neighbourhood is enough.
-HOPELESS, CONFIDENT = 0.55, 0.92
+#: Estimated similarity below which a pair is not looked at, and from which links may stand for others: four
+#: deviations of an estimate from the threshold, and three.
+HOPELESS, CONFIDENT = 0.55, 0.88
 
 SKETCH_SCHEMA = "doc_id long, n_shingles long, set_key binary, signature binary"
 PAIR_SCHEMA = "a long, b long, alike double"
@@ -116,18 +117,12 @@ def _columns(batches: list[pa.RecordBatch] | pa.Table) -> tuple[np.ndarray, ...]
 def _neighbours(tree: np.ndarray, path: np.ndarray, doc: np.ndarray, short: np.ndarray) -> pa.RecordBatch:
     """Pairs among rows in the order of (tree, path, id).
 
-    Each row meets the rows up to ``REACH`` before it that share its first hash, nearest first, which are those with
-    the longest common prefix.  Beyond that it meets the first row of every run of equal prefixes it is in, whatever the run's
-    length.  A confident link to the nearest neighbour stands for those to all others it is confident about.
+    Each row meets the rows up to ``REACH`` before it that share its first hash, which are those with the longest common
+    prefix, and beyond them the first row of every run of equal prefixes it is in, whatever the run's length.  A row's
+    nearest confident partner is its parent; rows under one root are connected, so no other pair among them is needed.
     """
     n = len(doc)
-    first, second, scores = [], [], []
-
-    def note(i: np.ndarray, j: np.ndarray, alike: np.ndarray, take: np.ndarray) -> None:
-        take = take & (doc[i] != doc[j])
-        first.append(doc[i[take]])
-        second.append(doc[j[take]])
-        scores.append(alike[take])
+    here = np.arange(n)
 
     def alike_of(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         out = np.empty(len(i))
@@ -140,25 +135,40 @@ def _neighbours(tree: np.ndarray, path: np.ndarray, doc: np.ndarray, short: np.n
         equal = np.logical_and.accumulate(path[1:] == path[:-1], axis=1).sum(1)
         shared[1:] = np.where(tree[1:] == tree[:-1], equal, 0)
     region = np.cumsum(shared == 0)
-    now, settled = np.arange(n), np.zeros(n, bool)
+    met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    parent, strength = here.copy(), np.zeros(n)
+
+    def meet(i: np.ndarray, j: np.ndarray) -> None:
+        alike = alike_of(i, j)
+        sure = (alike >= CONFIDENT) & (parent[i] == i)
+        parent[i[sure]], strength[i[sure]] = j[sure], alike[sure]
+        some = (alike >= HOPELESS) & ~sure
+        met.append((i[some], j[some], alike[some]))
+
+    now = here
     for step in range(1, REACH + 1):
         now = now[now >= step]
         now = now[region[now] == region[now - step]]
         if not len(now):
             break
-        alike = alike_of(now, now - step)
-        note(now, now - step, alike, (alike >= HOPELESS) & ~((alike >= CONFIDENT) & settled[now]))
-        settled[now[alike >= CONFIDENT]] = True
+        meet(now, now - step)
     before = np.full(n, -1, np.int64)
     for depth in range(1, DEPTH + 1):
-        start = np.maximum.accumulate(np.where(shared >= depth, 0, np.arange(n)))
-        rows = np.flatnonzero((np.arange(n) - start > REACH) & (start != before))
+        start = np.maximum.accumulate(np.where(shared >= depth, 0, here))
+        rows = np.flatnonzero((here - start > REACH) & (start != before))
         before = start
         if len(rows):
-            alike = alike_of(rows, start[rows])
-            note(rows, start[rows], alike, alike >= HOPELESS)
-    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (first, second))
-    score = np.concatenate(scores) if scores else np.empty(0)
+            meet(rows, start[rows])
+    child = np.flatnonzero(parent != here)
+    pairs = [(child, parent[child], strength[child])]
+    root = parent.copy()
+    while len(root) and (root[root] != root).any():  # parents come before their rows, so this ends
+        root = root[root]
+    pairs += [(i[apart], j[apart], alike[apart]) for i, j, alike in met for apart in [root[i] != root[j]]]
+    i, j, score = (np.concatenate(x) for x in zip(*pairs))
+    a, b = doc[i], doc[j]
+    other = a != b
+    a, b, score = a[other], b[other], score[other]
     return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(score)], schema=_PAIR)
 
 
