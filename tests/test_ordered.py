@@ -1,18 +1,23 @@
-"""Large groups take the segmented way; both ways must give the same rows."""
+"""Groups are cut into segments and chunks; rows must be those of one plain window."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import cross_section as xs
-from tidemark.operators import forecast, market
-from tidemark.operators.ordered import GROUP_BOUND_SETTING, group_sizes, group_sizes_of, last_before, over_neighbours, sequence
+from tidemark.operators import market, ordered
+from tidemark.operators.ordered import calendar_bucket, last_before, over_neighbours, score_bucket, sequence
 from tidemark.plans import adapters
 
 SF = "/root/testdata/sf0.001"
 
 
+def by_time():
+    return F.floor(F.col("t") / 7).cast("int")
+
+
 @pytest.fixture
 def skewed(spark):
     rng = random.Random(7)
@@ -21,85 +26,100 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k string, t int, id int, v double").repartition(5)
 
 
-def both_ways(spark, build):
-    def rows():
-        return sorted(build().collect(), key=str)
+def rows(df):
+    return sorted(df.collect(), key=str)
 
-    plain = rows()
-    spark.conf.set(GROUP_BOUND_SETTING, "25")
-    try:
-        split = rows()
-    finally:
-        spark.conf.unset(GROUP_BOUND_SETTING)
-    return plain, split
+
+def test_sequence(skewed):
+    whole = Window.partitionBy("k")
+    plain = skewed.withColumn("n", F.row_number().over(whole.orderBy("t", "id")).cast("long")).withColumn("m", F.count("*").over(whole))
+    assert rows(sequence(skewed, ["k"], ["t", "id"], by_time(), seq="n", size="m")) == rows(plain)
 
 
-def test_sizes(skewed):
-    assert group_sizes(skewed, ["k"]) == (300, 420)
-    assert group_sizes_of(skewed, [["k"], ["id"]]) == [(300, 420), (1, 420)]
-    assert group_sizes(skewed.where("false"), ["k"]) == (0, 0)
+def test_weighted_sequence(skewed):
+    counted = skewed.groupBy("k", "t").agg(F.count("*").alias("w"))
+    plain = counted.withColumn("n", F.sum("w").over(Window.partitionBy("k").orderBy("t")))
+    assert rows(sequence(counted, ["k"], ["t"], by_time(), seq="n", weight=F.col("w"))) == rows(plain)
 
 
-def test_sequence(spark, skewed):
-    plain, split = both_ways(spark, lambda: sequence(skewed, ["k"], ["t", "id"], seq="n", size="m"))
-    assert plain == split
-    assert max(r.n for r in plain) == 300 == max(r.m for r in plain)
+def test_scores_and_nulls(spark):
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e-310, -1e-310, 1e-5, 0.5, 0.51, 1.0, 1.5, -1.5, -2.0, 1e300, -1e300]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values * 2)], "id int, v double")
+    plain = df.withColumn("n", F.row_number().over(Window.orderBy("v", "id")).cast("long"))
+    assert str(rows(sequence(df, [], ["v", "id"], score_bucket(F.col("v")), seq="n"))) == str(rows(plain))
 
 
-def test_sequence_descending_with_nulls(spark, skewed):
-    order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
-    plain, split = both_ways(spark, lambda: sequence(skewed, ["k"], order, seq="n"))
-    assert plain == split
+def test_buckets_never_fall(spark):
+    rng = random.Random(1)
+    values = sorted(rng.uniform(-1, 1) * 10 ** rng.randrange(-12, 12) for _ in range(3000))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    found = [r.b for r in df.orderBy("i").select(score_bucket(F.col("v")).alias("b")).collect()]
+    assert found == sorted(found) and len(set(found)) > 500
+    days = spark.sql("SELECT explode(array(NULL, date'1890-01-01', date'1969-12-31', date'1970-01-01', date'2024-05-05')) d")
+    found = [r.b for r in days.select(calendar_bucket(F.col("d")).alias("b")).collect()]
+    assert found == sorted(found) and len(set(found)) == 5
 
 
-def test_neighbours(spark, skewed):
+@pytest.mark.parametrize("chunk", [1, 16, 4096])
+def test_neighbours(skewed, monkeypatch, chunk):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", chunk)
     stages = [
         lambda w: {"back": F.lag("id", 7).over(w), "ahead": F.lead("id", 3).over(w)},
         lambda w: {"mean": F.sum("t").over(w.rowsBetween(-6, 2)), "prior": F.lag("back", 4).over(w)},
     ]
-    plain, split = both_ways(
-        spark, lambda: over_neighbours(skewed, ["k"], ["t", "id"], stages, before=11, after=3)
-    )
-    assert plain == split and len(split) == 420
-
-
-def test_neighbours_wider_than_bound(spark, skewed):
-    stages = [lambda w: {"back": F.lag("id", 40).over(w), "ahead": F.lead("id", 40).over(w)}]
-    plain, split = both_ways(spark, lambda: over_neighbours(skewed, ["k"], ["t", "id"], stages, before=40, after=40))
-    assert plain == split
-
-
-def test_global_order_without_keys(spark, skewed):
-    days = skewed.select("id")
-    plain, split = both_ways(
-        spark, lambda: over_neighbours(days, [], ["id"], [lambda w: {"next": F.lead("id").over(w)}], before=0, after=1)
-    )
-    assert plain == split and sum(r.next is None for r in split) == 1
+    plain = skewed
+    for stage in stages:
+        plain = plain.withColumns(stage(Window.partitionBy("k").orderBy("t", "id")))
+    assert rows(over_neighbours(skewed, ["k"], ["t", "id"], by_time(), stages, before=11, after=3)) == rows(plain)
 
 
-def test_last_before(spark, skewed):
+def test_last_before(skewed):
     columns = {"p": F.col("v"), "seen": F.lit(True)}
-    plain, split = both_ways(spark, lambda: last_before(skewed, ["k"], ["t", "id"], columns))
-    assert plain == split
-    # Brute force.
+    found = rows(last_before(skewed, ["k"], ["t", "id"], by_time(), columns))
+    assert len(found) == 420
     for key in ("hot", "a", None):
         last, first = None, True
-        for row in sorted((r for r in plain if r.k == key), key=lambda r: (r.t, r.id)):
+        for row in sorted((r for r in found if r.k == key), key=lambda r: (r.t, r.id)):
             assert row.p == last and row.seen == (None if first else True)
             last, first = (row.v if row.v is not None else last), False
 
 
-def test_operators_agree_on_large_groups(spark):
+def test_plans_start_no_job(spark):
+    """Building the plan of an ordered operator runs nothing; all of them follow the same plan at any size."""
+    bars, panel = adapters.bars(spark, SF), adapters.panel(spark, SF)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        market.market_features(bars)
+        market.momentum_with_returns(bars)
+        xs.quantile_summary(xs.assign_quantiles(panel))
+        assert list(tracker.getJobIdsForGroup("plans")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_momentum_with_returns_equals_the_join(spark):
     bars = adapters.bars(spark, SF)
-    panel = adapters.panel(spark, SF)
-    summary = adapters.forecast_summary(spark, SF)
-    for build in (
-        lambda: market.market_features(bars),
-        lambda: market.forward_returns(bars),
-        lambda: xs.assign_quantiles(panel, high_is_good=False).select("date", "ticker", "quantile"),
-        lambda: xs.quantile_summary(xs.assign_quantiles(panel, n_quantiles=2)).select("date", "quantile", "count", "median_return"),
-        lambda: forecast.forecast_revisions(summary),
-        lambda: xs.portfolio_turnover(adapters.weights(spark, SF)).select("date", F.round("turnover", 9)),
-    ):
-        plain, split = both_ways(spark, build)
-        assert plain and plain == split
+    joined = xs.attach_labels(
+        market.market_features(bars, features=["momentum_12_1"], lookback=20, skip=3), market.forward_returns(bars, horizons=[2, 5])
+    )
+    beside = xs.known_pairs(
+        market.momentum_with_returns(bars, horizons=[2, 5], lookback=20, skip=3).select("*", F.inline("ahead"))
+    )
+    columns = ["ticker", "date", "value", "horizon_trading_days", "forward_return", "known_at", "outcome_known_at"]
+    assert rows(beside.select(columns)) == rows(joined.select(columns)) != []
+
+
+def test_infinite_prices_give_no_nan(spark):
+    days = [(f"2024-01-{d:02d}", "1234", 1.0 if d % 3 else float("inf"), 5.0) for d in range(1, 29)]
+    df = spark.createDataFrame([(*r, f"{r[0]}T00:00:00Z", f"{r[0]}T00:00:00Z") for r in days], "Date string, Code string, C double, Va double, known_at string, observed_at string")
+    found = market.market_features(df, lookback=6, skip=3, liquidity_window=2).collect()
+    assert found and not any(r.value != r.value for r in found)
+    assert not any(r.forward_return != r.forward_return for r in market.forward_returns(df, horizons=[3]).collect())
+
+
+def test_median_of_ties(spark):
+    values = [1.0] * 500 + [2.0] * 499 + [None, float("nan")]
+    df = spark.createDataFrame([("d", 1, v) for v in values] + [("d", 2, v) for v in (1.0, 4.0)], "date string, quantile int, forward_return double")
+    found = {r.quantile: (r["count"], r.median_return) for r in xs.quantile_summary(df).collect()}
+    assert found == {1: (999, 1.0), 2: (2, 2.5)}

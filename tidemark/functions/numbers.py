@@ -60,6 +60,11 @@ def number(value: Column) -> Column:
     return F.when(~F.isnan(parsed), parsed)
 
 
+def without_nan(value: Column) -> Column:
+    """The value, NaN as null."""
+    return F.when(~F.isnan(value), value)
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Ratio of two finite numbers, null when a side is missing or the divisor is zero."""
     return F.try_divide(finite(numerator), finite(denominator))

@@ -80,13 +80,23 @@ def series_changes(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     )
 
 
-def record_hash(fields: Sequence[str], prefix: str = "") -> Column:
-    """Hash of the fields as compact JSON with sorted keys; missing values are written as null."""
-    members = [F.col(f"{prefix}{name}").alias(name) for name in sorted(fields)]
+def record_hash(fields: Sequence[str], prefix: str = "", numeric: Sequence[str] = ()) -> Column:
+    """Hash of the fields as compact JSON with sorted keys; missing values are written as null, ``numeric`` ones as numbers."""
+    members = [
+        (F.col(f"{prefix}{name}").cast("bigint") if name in numeric else F.col(f"{prefix}{name}")).alias(name)
+        for name in sorted(fields)
+    ]
     return content_hash(F.to_json(F.struct(*members), {"ignoreNullFields": "false"}))
 
 
-def changed_payloads(payloads: DataFrame, kept: DataFrame, key: str = "manifest_id") -> DataFrame:
-    """Raw payloads whose hash differs from the one last kept for their key."""
+def changed_payloads(
+    payloads: DataFrame, kept: DataFrame, key: str = "manifest_id", newest: str | None = None
+) -> DataFrame:
+    """Raw payloads whose hash differs from the one last kept for their key.
+
+    ``newest`` names the column of ``kept`` that tells its versions apart; without it each key has one row.  A payload that
+    returns to an older version differs from the last one and is kept again.
+    """
     hashed = payloads.withColumn("sha256", content_hash(F.col("payload")))
-    return hashed.join(kept.select(key, "sha256").distinct(), [key, "sha256"], "left_anti")
+    last = kept if newest is None else first_of_group(kept, [key], [F.col(newest).desc_nulls_last(), F.col("sha256").desc()])
+    return hashed.join(last.select(key, "sha256").distinct(), [key, "sha256"], "left_anti")

@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import number
 from tidemark.functions.times import to_utc
-from tidemark.operators.ordered import over_neighbours, sequence
-from tidemark.operators.quality import duplicate_rows, reject_if_any, require_columns, violations
+from tidemark.operators.ordered import score_bucket, sequence
+from tidemark.operators.quality import reject_if_any, require_columns
 from tidemark.session import ensure_checkpoint_dir
 
 # Below these the spread of the residual, or of log size, is rounding noise.
@@ -42,13 +42,11 @@ def assign_quantiles(
     high_is_good: bool = True,
     ties: Sequence[str] = ("ticker",),
     output: str = "quantile",
-    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Bucket 1..n per date by factor; n is the preferred end.
 
     Equal factors are ordered by ``ties``.  Dates with fewer usable rows than
-    buckets, and rows without a factor or a date, get null.  ``sizes`` is a
-    measurement by date (an upper bound will do) that the caller already has.
+    buckets, and rows without a factor or a date, get null.
     """
     if n_quantiles < 2:
         raise ValueError("n_quantiles must be at least 2")
@@ -58,26 +56,39 @@ def assign_quantiles(
     scored = df.withColumns({"__usable": usable, "__score": value if high_is_good else -value})
     # Unusable rows have one group per date and get no bucket.
     order = [F.col("__score").asc(), *[F.col(t).asc() for t in ties]]
-    ranked = sequence(scored, [date, "__usable"], order, seq="__rank", size="__size", sizes=sizes)
-    bucket = F.lit(1)
+    bucket = score_bucket(F.col("__score"))
+    ranked = sequence(scored, [date, "__usable"], order, bucket, seq="__rank", size="__size")
+    number_of = F.lit(1)
     for level in quantile_levels(n_quantiles):
-        bucket = bucket + (F.col("__rank") > _rank_edge(F.col("__size"), level)).cast("int")
-    label = F.when(F.col("__usable") & (F.col("__size") >= n_quantiles), bucket)
+        number_of = number_of + (F.col("__rank") > _rank_edge(F.col("__size"), level)).cast("int")
+    label = F.when(F.col("__usable") & (F.col("__size") >= n_quantiles), number_of)
     return ranked.withColumn(output, label).drop("__usable", "__score", "__rank", "__size")
 
 
 def quantile_summary(
     df: DataFrame, *, date: str = "date", quantile: str = "quantile", forward_return: str = "forward_return"
 ) -> DataFrame:
-    """Count, mean and exact median of the forward return per (date, bucket)."""
+    """Count, mean and exact median of the forward return per (date, bucket).
+
+    Equal returns are counted first, so very many of them are one row of what is ranked.
+    """
     require_columns(df, [date, quantile, forward_return], "summary")
     rows = df.select(date, quantile, number(F.col(forward_return)).alias("__value")).dropna()
-    ranked = sequence(rows, [date, quantile], [F.col("__value").asc()], seq="__rank", size="__size")
-    middle = (F.col("__rank") * 2).between(F.col("__size"), F.col("__size") + 2)
+    values = rows.groupBy(date, quantile, "__value").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = sequence(
+        values, [date, quantile], [F.col("__value").asc()], score_bucket(F.col("__value")),
+        seq="__rank", size="__size", weight=F.col("__n"),
+    )
+    # The value at rank r is the one whose ranks (rank - n, rank] hold r; an even count has two middle ranks.
+    holds = [
+        (F.col("__rank") >= r) & (F.col("__rank") - F.col("__n") < r)
+        for r in (F.floor((F.col("__size") + 1) / 2), F.floor(F.col("__size") / 2) + 1)
+    ]
+    lower, upper = (F.max(F.when(h, F.col("__value"))) for h in holds)
     return ranked.groupBy(date, quantile).agg(
-        F.count("__value").alias("count"),
-        F.avg("__value").alias("mean_return"),
-        F.avg(F.when(middle, F.col("__value"))).alias("median_return"),
+        F.sum("__n").alias("count"),
+        (F.sum(F.col("__value") * F.col("__n")) / F.sum("__n")).alias("mean_return"),
+        F.when(lower == upper, lower).otherwise((lower + upper) / 2).alias("median_return"),
     )
 
 
@@ -191,21 +202,17 @@ def portfolio_turnover(
         number(F.col(weight)).alias("__w"),
     )
     if strict:
-        reject_if_any(violations(rows, {"non_numeric": F.col("__w").isNull()}), "weights")
-        reject_if_any(duplicate_rows(rows, [date, ticker]), "weights")
-
-    days = over_neighbours(
-        rows.select(date).distinct(),
-        [],
-        [F.col(date).asc()],
-        [
-            lambda w: {
-                "__next": F.lead(date).over(w),
-                "__first": F.lag(date).over(w).isNull(),
-            }
-        ],
-        before=1,
-        after=1,
+        versions = rows.groupBy(date, ticker).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__w").isNull()).alias("bad"))
+        totals = versions.agg(
+            F.coalesce(F.sum("bad"), F.lit(0)).alias("non_numeric"),
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
+        )
+        reject_if_any(totals, "weights")
+
+    # One row per date present: the calendar bounds this window.
+    calendar = Window.orderBy(F.col(date).asc())
+    days = rows.select(date).distinct().withColumns(
+        {"__next": F.lead(date).over(calendar), "__first": F.lag(date).over(calendar).isNull()}
     )
     next_day = days.select(F.col(date).alias("__day"), "__next")
     closing = rows.join(next_day.where(F.col("__next").isNotNull()), F.col(date) == F.col("__day"))
@@ -249,5 +256,10 @@ def attach_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
     A feature must be known by the decision, and the outcome only after it.
     """
     paired = features.join(labels, ["date", "ticker"])
+    return known_pairs(paired)
+
+
+def known_pairs(paired: DataFrame) -> DataFrame:
+    """Features beside realised returns where the feature was known by the decision and the outcome only after it."""
     known, decision = to_utc(F.col("known_at")), to_utc(F.col("decision_known_at"))
     return paired.where((known <= decision) & (decision < to_utc(F.col("outcome_known_at"))))

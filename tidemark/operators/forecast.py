@@ -12,7 +12,7 @@ from tidemark import vocabulary as v
 from tidemark.functions.numbers import finite
 from tidemark.functions.text import clean, disclosure_ticker
 from tidemark.functions.times import to_utc
-from tidemark.operators.ordered import first_of_group, group_sizes, last_before
+from tidemark.operators.ordered import calendar_bucket, first_of_group, last_before
 from tidemark.operators.quality import require_columns
 
 METRICS = tuple(v.FORECAST_FEATURES)
@@ -44,10 +44,10 @@ def _previous(name: str) -> str:
     return f"__previous_{name}"
 
 
-def _with_previous(rows: DataFrame, order: list[Column], sizes: tuple[int, int] | None = None) -> DataFrame:
+def _with_previous(rows: DataFrame, order: list[Column], bucket: Column) -> DataFrame:
     """Add the last explicit forecast of each metric and whether any disclosure came before."""
     earlier = {_previous(m): F.col(m) for m in METRICS}
-    return last_before(rows, KEY, order, {**earlier, "__seen": F.lit(True)}, sizes=sizes)
+    return last_before(rows, KEY, order, bucket, {**earlier, "__seen": F.lit(True)})
 
 
 def _emit(rows: DataFrame) -> DataFrame:
@@ -77,7 +77,8 @@ def _emit(rows: DataFrame) -> DataFrame:
 
 def forecast_revisions(summary: DataFrame) -> DataFrame:
     """Revision of each metric against its last explicit forecast, and their mean sign."""
-    return _emit(_with_previous(disclosures(summary), [F.col(c).asc() for c in _ORDER]))
+    order = [F.col(c).asc() for c in _ORDER]
+    return _emit(_with_previous(disclosures(summary), order, calendar_bucket(F.col("known_at"))))
 
 
 def advancing(rows: DataFrame, state: DataFrame | None) -> DataFrame:
@@ -99,8 +100,6 @@ def forecast_revisions_with_state(
     and the stamp reached.  Replayed or older disclosures change nothing.
     """
     fresh = disclosures(summary)
-    # Advancing drops rows and the state adds one per key: this bounds every group.
-    largest, total = group_sizes(fresh, KEY)
     rows = advancing(fresh, state).withColumn("__carried", F.lit(False))
     if state is not None:
         carried = state.select(
@@ -114,7 +113,8 @@ def forecast_revisions_with_state(
         )
         rows = rows.unionByName(carried)
     order = [F.col("__carried").desc(), F.col("known_at").asc_nulls_first()]
-    features = _emit(_with_previous(rows, order, (largest + 1, 2 * total + 1)).where(~F.col("__carried")))
+    bucket = F.when(F.col("__carried"), F.lit(-(1 << 31))).otherwise(calendar_bucket(F.col("known_at")))
+    features = _emit(_with_previous(rows, order, bucket).where(~F.col("__carried")))
 
     position = F.struct((~F.col("__carried")).alias("fresh"), F.col("known_at"))
     latest = [F.max_by(m, F.when(F.col(m).isNotNull(), position)).alias(m) for m in METRICS]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
 from tidemark.functions.numbers import looks_numeric, number
-from tidemark.functions.text import clean, local_name
+from tidemark.functions.text import clean, local_name, strip
 from tidemark.operators.dimensions import fixed_table, metric_aliases
 from tidemark.operators.ordered import first_of_group, top_of_group
 
@@ -86,7 +86,7 @@ def unmatched_elements(facts: DataFrame, aliases: DataFrame | None = None, top:
     """Per element name outside the alias table: counts, usual item name, top units and contexts."""
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
     rows = (
-        facts.withColumn("local_name", local_name(F.col("element_id")))
+        facts.withColumn("local_name", local_name(strip(F.col("element_id"))))
         .where(F.col("local_name") != "")
         .join(aliases.select("local_name"), "local_name", "left_anti")
     )

@@ -1,159 +1,116 @@
-"""Order-dependent work inside groups of any size.
-
-A plain window function sorts each whole group in one task.  That is right for
-a few million rows and wrong for a group that holds a third of the data.  Each
-function here first measures the largest group.  At or below the bound it uses
-one ordinary window.  Beyond it, rows are range-partitioned on (group, order),
-so a large group spans many tasks, and a small per-segment summary carries the
-state across segment borders.  Both ways give the same rows.
+"""Order-dependent work inside groups of any size, by one plan for every size.
+
+A plain window function sorts each whole group in one task, which is wrong for
+a group that holds a third of the data.  Here a group is cut into segments by a
+*bucket*: a value computed from the row alone that never falls in the order
+of the group (a calendar period, a step of a score).  Rows are numbered or looked
+back at inside their segment; one summary row per (group, bucket), combined before
+the shuffle, carries counts and last values across segments.  Lags and rolling
+frames work on chunks of fixed length with copies of the neighbouring rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
-
-GROUP_BOUND_SETTING = "tidemark.group.rows.bound"
-DEFAULT_GROUP_BOUND = 4_000_000
-
-_SEGMENT, _LOCAL, _BEFORE = "__segment", "__local", "__before"
+_BUCKET, _LOCAL, _BEFORE = "__bucket", "__local", "__before"
 _SEQ, _CHUNK, _HOME = "__seq", "__chunk", "__home"
 
+#: Rows per chunk of a group, unless the neighbourhood needs more.
+CHUNK_ROWS = 4096
+_NULLS_FIRST = -(1 << 31)
+
 Stage = Callable[[WindowSpec], dict[str, Column]]
 # Sort columns; a bare name means ascending.
 Order = Sequence[str | Column]
 
 
-def group_bound(df: DataFrame) -> int:
-    """Largest number of rows of one group that may be sorted in one task."""
-    return int(df.sparkSession.conf.get(GROUP_BOUND_SETTING, str(DEFAULT_GROUP_BOUND)))
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, rows in all); reads only the key columns."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    return int(row["largest"] or 0), int(row["total"] or 0)
-
-
-def group_sizes_of(df: DataFrame, groupings: Sequence[Sequence[str]]) -> list[tuple[int, int]]:
-    """``group_sizes`` for several keys in one job."""
-    names = sorted({k for keys in groupings for k in keys})
-    sets = [[F.col(k) for k in keys] for keys in groupings]
-    counts = df.groupingSets(sets, *names).agg(F.grouping_id(*names).alias("which"), F.count(F.lit(1)).alias("n"))
-    rows = counts.groupBy("which").agg(F.max("n").alias("largest"), F.sum("n").alias("total")).collect()
-    found = {row["which"]: (int(row["largest"]), int(row["total"])) for row in rows}
-
-    def which(keys: Sequence[str]) -> int:
-        return sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in keys)
+def calendar_bucket(moment: Column, days: int = 366) -> Column:
+    """Number of the period of ``days`` that a date or timestamp falls in; null comes first."""
+    day = F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date"))
+    return F.coalesce(F.floor(day / days).cast("int"), F.lit(_NULLS_FIRST))
 
-    return [found.get(which(keys), (0, 0)) for keys in groupings]
 
+def score_bucket(score: Column, steps: int = 32) -> Column:
+    """Number of the step of a score, ``steps`` to each doubling of its size, in ascending order; null comes first.
 
-def _ascending(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).asc_nulls_first() for k in keys]
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _segmented(df: DataFrame, keys: Sequence[str], order: Order, total: int) -> DataFrame:
-    """Contiguous ranges of (keys, order), numbered, and fixed by a reliable checkpoint.
-
-    The number of a range comes from sampled boundaries, so it must not be
-    recomputed differently after an executor is lost: the checkpoint pins it.
+    Null is below minus infinity, NaN above infinity, as Spark sorts them.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / group_bound(df)))
-    ranged = df.repartitionByRange(parts, *_ascending(keys), *order)
-    return ranged.withColumn(_SEGMENT, F.spark_partition_id()).checkpoint()
+    size = F.abs(score)
+    step = F.greatest(F.floor(F.log2(F.greatest(size, F.lit(1e-300))) * steps) + 1100 * steps, F.lit(0)).cast("int")
+    signed = (
+        F.when(F.isnan(score), F.lit(1 << 30))
+        .when(size == float("inf"), F.signum(score).cast("int") * (1 << 29))
+        .when(score > 0, step)
+        .when(score < 0, -step)
+        .otherwise(F.lit(0))
+    )
+    return F.when(score.isNull(), F.lit(_NULLS_FIRST)).otherwise(signed)
 
 
 def _segment_window(keys: Sequence[str], order: Order) -> WindowSpec:
-    return Window.partitionBy(*keys, _SEGMENT).orderBy(*order)
+    return Window.partitionBy(*keys, _BUCKET).orderBy(*order)
 
 
 def _earlier_segments(keys: Sequence[str]) -> WindowSpec:
-    """Over one row per (group, segment): at most as many rows as there are segments."""
-    return Window.partitionBy(*keys).orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    """Over one row per (group, bucket): as many rows as the order has buckets."""
+    return Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Bring per-(group, segment) columns to the rows; the keys of one side are unique."""
-    join_keys = [*keys, _SEGMENT]
-    return rows.join(summary, _same_keys(rows, summary, join_keys), "left").select(
-        rows["*"], *[summary[c] for c in columns]
-    )
+    """Bring per-(group, bucket) columns to the rows; the keys of one side are unique."""
+    renamed = summary.select(*[F.col(k).alias(f"__key_{k}") for k in [*keys, _BUCKET]], *columns)
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in [*keys, _BUCKET]])
+    return rows.join(renamed, match, "left").select(*rows.columns, *columns)
 
 
 def sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: Order,
+    bucket: Column,
     *,
     seq: str = _SEQ,
     size: str | None = None,
-    sizes: tuple[int, int] | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1..n in ``order``; optionally add n as ``size``.
 
-    ``order`` must be total for a repeatable result.  ``sizes`` passes in a
-    measurement from ``group_sizes`` that the caller already has.
+    ``order`` must be total for a repeatable result, and ``bucket`` must not fall along it.  With ``weight`` a row
+    counts as that many rows and gets the number of its last one.
     """
-    largest, total = sizes or group_sizes(df, keys)
-    if largest <= group_bound(df):
-        whole = Window.partitionBy(*keys)
-        out = df.withColumn(seq, F.row_number().over(whole.orderBy(*order)).cast("long"))
-        return out if size is None else out.withColumn(size, F.count(F.lit(1)).over(whole))
-
-    rows = _segmented(df, keys, order, total)
-    summary = rows.groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias(_LOCAL))
+    rows = df.withColumn(_BUCKET, bucket)
+    one = F.lit(1) if weight is None else weight
+    summary = rows.groupBy(*keys, _BUCKET).agg(F.sum(one).alias(_LOCAL))
     summary = summary.withColumn(_BEFORE, F.coalesce(F.sum(_LOCAL).over(_earlier_segments(keys)), F.lit(0)))
     carried = [_BEFORE]
     if size is not None:
         summary = summary.withColumn(size, F.sum(_LOCAL).over(Window.partitionBy(*keys)))
         carried.append(size)
-    local = rows.withColumn(seq, F.row_number().over(_segment_window(keys, order)).cast("long"))
+    window = _segment_window(keys, order)
+    if weight is None:
+        number = F.row_number().over(window)
+    else:
+        number = F.sum(weight).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    local = rows.withColumn(seq, number.cast("long"))
     out = _attach(local, summary.drop(_LOCAL), keys, carried)
-    return out.withColumn(seq, F.col(seq) + F.col(_BEFORE)).drop(_BEFORE, _SEGMENT)
+    return out.withColumn(seq, F.col(seq) + F.col(_BEFORE)).drop(_BEFORE, _BUCKET)
 
 
 def over_neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Order,
-    stages: Sequence[Stage],
-    *,
-    before: int,
-    after: int,
-    sizes: tuple[int, int] | None = None,
+    df: DataFrame, keys: Sequence[str], order: Order, bucket: Column, stages: Sequence[Stage], *, before: int, after: int
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``stages`` are functions from a window to new columns; a later stage may use
-    the columns of an earlier one.  Large groups are cut into chunks, and each
+    the columns of an earlier one.  Groups are cut into chunks of fixed length, and each
     chunk gets copies of the neighbouring rows it must see.
     """
-    largest, total = sizes or group_sizes(df, keys)
-    bound = group_bound(df)
-
-    def apply(frame: DataFrame, window: WindowSpec) -> DataFrame:
-        for stage in stages:
-            frame = frame.withColumns(stage(window))
-        return frame
-
-    if largest <= bound:
-        return apply(df, Window.partitionBy(*keys).orderBy(*order))
-
-    span = max(bound, before + after, 1)
+    span = max(CHUNK_ROWS, 4 * (before + after), 1)
     position = (F.col(_SEQ) - 1) % span
     home = F.floor((F.col(_SEQ) - 1) / span)
     no_chunk = F.lit(None).cast("long")
@@ -164,46 +121,36 @@ def over_neighbours(
             F.when((position < after) & (home > 0), home - 1).otherwise(no_chunk),
         )
     )
-    numbered = sequence(df, keys, order, sizes=(largest, total))
-    spread = numbered.withColumn(_HOME, home).withColumn(_CHUNK, F.explode(seen_by))
-    out = apply(spread, Window.partitionBy(*keys, _CHUNK).orderBy(_SEQ))
+    numbered = sequence(df, keys, order, bucket)
+    out = numbered.withColumn(_HOME, home).withColumn(_CHUNK, F.explode(seen_by))
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_SEQ)
+    for stage in stages:
+        out = out.withColumns(stage(window))
     return out.where(F.col(_CHUNK) == F.col(_HOME)).drop(_SEQ, _CHUNK, _HOME)
 
 
 def last_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Order,
-    columns: dict[str, Column],
-    *,
-    sizes: tuple[int, int] | None = None,
+    df: DataFrame, keys: Sequence[str], order: Order, bucket: Column, columns: dict[str, Column]
 ) -> DataFrame:
     """For each new column, the last non-null value strictly before the row in its group."""
-    largest, total = sizes or group_sizes(df, keys)
-    if largest <= group_bound(df):
-        earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({name: F.last(c, ignorenulls=True).over(earlier) for name, c in columns.items()})
-
-    rows = _segmented(df, keys, order, total)
     window = _segment_window(keys, order)
     carried = {name: f"__carried_{name}" for name in columns}
     sources = {name: f"__source_{name}" for name in columns}
-    rows = rows.withColumns({sources[name]: c for name, c in columns.items()})
-    rows = rows.withColumn(_LOCAL, F.row_number().over(window))
-    ends = rows.groupBy(*keys, _SEGMENT).agg(
-        *[
-            F.max_by(F.col(sources[n]), F.when(F.col(sources[n]).isNotNull(), F.col(_LOCAL))).alias(carried[n])
-            for n in columns
-        ]
+    rows = df.withColumn(_BUCKET, bucket).withColumns({sources[name]: c for name, c in columns.items()})
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns(
+        {n: F.last(F.col(sources[n]), ignorenulls=True).over(earlier) for n in columns}
+        | {carried[n]: F.last(F.col(sources[n]), ignorenulls=True).over(whole) for n in columns}
+        | {_LOCAL: F.row_number().over(window)}
     )
+    ends = local.where(F.col(_LOCAL) == 1).select(*keys, _BUCKET, *carried.values())
     ends = ends.withColumns(
         {c: F.last(F.col(c), ignorenulls=True).over(_earlier_segments(keys)) for c in carried.values()}
     )
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumns({n: F.last(F.col(sources[n]), ignorenulls=True).over(earlier) for n in columns})
-    out = _attach(local, ends, keys, list(carried.values()))
+    out = _attach(local.drop(*carried.values()), ends, keys, list(carried.values()))
     out = out.withColumns({n: F.coalesce(F.col(n), F.col(carried[n])) for n in columns})
-    return out.drop(*carried.values(), *sources.values(), _LOCAL, _SEGMENT)
+    return out.drop(*carried.values(), *sources.values(), _LOCAL, _BUCKET)
 
 
 def first_of_group(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:

@@ -35,6 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def padded(key: Column | str, width: int) -> Column:
+    """A key as text, filled with zeros up to ``width`` and never shortened."""
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
+
+
+def security(key: Column | str) -> Column:
+    """A four-character code of a number from 0 to 36^4 - 1, one to one; beyond that it fails.
+
+    Up to 9999 it is the number itself; larger ones are counted on in base 36 from A000, without codes of digits alone.
+    """
+    number = (F.col(key) if isinstance(key, str) else key).cast("long")
+    code = F.when(number < 10_000, padded(number, 4)).otherwise(F.upper(F.conv((number - 10_000 + 10 * 36**3).cast("string"), 10, 36)))
+    return F.when(F.length(code) == 4, code).otherwise(F.raise_error(F.concat(F.lit("no code left for "), number.cast("string"))))
+
+
 def day_text(moment: Column | str) -> Column:
     return F.date_format(moment, "yyyy-MM-dd")
 
@@ -69,7 +85,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return daily.select(
         F.col("day").alias("Date"),
-        F.concat(F.lpad(F.col("l_suppkey").cast("string"), 4, "0"), F.lit("0")).alias("Code"),
+        F.concat(security("l_suppkey"), F.lit("0")).alias("Code"),
         "AdjC",
         "Va",
         at_six("day").alias("known_at"),
@@ -104,7 +120,7 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def statement_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical metric rows: part as document, supplier decides the metric."""
     flag, line = F.col("l_returnflag"), F.col("l_linenumber")
-    part_code = F.lpad(F.col("l_partkey").cast("string"), 5, "0")
+    part_code = padded("l_partkey", 5)
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), part_code).alias("doc_id"),
         F.when(flag == "R", "").otherwise(part_code).alias("stock_code"),
@@ -128,7 +144,7 @@ def ownership_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = F.when(F.col("l_returnflag") == "A", F.col("l_discount") - F.col("l_tax"))
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("doc_id"),
-        F.lpad(F.col("l_orderkey").cast("string"), 6, "0").alias("issuer_stock_code"),
+        padded("l_orderkey", 6).alias("issuer_stock_code"),
         F.when(F.col("l_linestatus") == "F", day_text("l_shipdate")).alias("filing_date"),
         at_six("l_shipdate").alias("known_at"),
         at_six(later("l_shipdate", 2)).alias("observed_at"),
@@ -147,11 +163,11 @@ def forecast_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
     return joined.select(
         F.concat(
-            F.lpad(F.col("c_nationkey").cast("string"), 3, "0"), F.substring("c_mktsegment", 1, 1), F.lit("0")
+            padded("c_nationkey", 3), F.substring("c_mktsegment", 1, 1), F.lit("0")
         ).alias("Code"),
         F.concat(F.year("o_orderdate").cast("string"), F.lit("-03-31")).alias("CurFYEn"),
         day_text("o_orderdate").alias("DiscDate"),
-        F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("DiscNo"),
+        padded("o_orderkey", 10).alias("DiscNo"),
         price.alias("FSales"),
         F.when(F.col("o_orderpriority") != "5-LOW", price * 0.1).alias("FOP"),
         F.when(status == "F", price * 0.08).alias("FOdP"),
@@ -165,7 +181,7 @@ def forecast_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def printed_value() -> Column:
     """Statement numbers as printed: triangles, brackets, percents, dashes."""
     flag, part = F.col("l_returnflag"), F.col("l_partkey").cast("string")
-    line = F.lpad(F.col("l_linenumber").cast("string"), 3, "0")
+    line = padded("l_linenumber", 3)
     return (
         F.when(flag == "A", F.concat(F.lit("△1,"), line))
         .when(flag == "N", F.concat(F.lit(" ("), part, F.lit(")　")))
@@ -228,7 +244,7 @@ def document_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         day_text("o_orderdate").alias("file_date"),
         F.col("o_orderkey").alias("seq_number"),
-        F.concat(F.lit("S"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("doc_id"),
+        F.concat(F.lit("S"), padded("o_orderkey", 9)).alias("doc_id"),
         code.alias("doc_type_code"),
         F.when(F.col("o_orderstatus") == "P", "0").otherwise("1").alias("csv_flag"),
         F.concat(day_text("o_orderdate"), F.lit(" 10:00")).alias("submit_datetime"),
@@ -248,7 +264,7 @@ def listing_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("s_nationkey").cast("string")
     return seen.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.concat("month", F.lit("-01T00:00:00")).alias("Date"),
-        F.concat(F.lpad(F.col("s_suppkey").cast("string"), 4, "0"), F.lit("0")).alias("Code"),
+        F.concat(security("s_suppkey"), F.lit("0")).alias("Code"),
         F.concat("s_name", F.lit(" "), "l_linestatus").alias("CoName"),
         F.concat(F.lit("0"), nation).alias("Mkt"),
         F.concat(F.lit("Market "), nation).alias("MktNm"),

@@ -24,6 +24,18 @@ def pick(options, key: str) -> str:
     return f"(CASE ({key}) % {len(options)} {cases} END)"
 
 
+def padded(key: str, width: int) -> str:
+    """A key as text, filled with zeros and never shortened."""
+    return f"lpad({key}::VARCHAR, greatest(length({key}::VARCHAR), {width})::INTEGER, '0')"
+
+
+def security(key: str) -> str:
+    """The four-character code of a number; see ``adapters.security``."""
+    above = f"({key}::BIGINT - 10000 + {10 * 36**3})"
+    letters = " || ".join(f"substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', ({above} // {36**k} % 36 + 1)::INTEGER, 1)" for k in (3, 2, 1, 0))
+    return f"(CASE WHEN {key} < 10000 THEN {padded(key, 4)} WHEN {above} < {36**4} THEN {letters} ELSE error('no code left') END)"
+
+
 def quantile(rank: str, size: str, n_quantiles: int) -> str:
     """Bucket of a rank; the same edges as the percentile grid of 1..size."""
     terms = []
@@ -39,13 +51,13 @@ def quantile(rank: str, size: str, n_quantiles: int) -> str:
 
 
 ROW_ORDER = "l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice"
-PART_CODE = "lpad(l_partkey::VARCHAR, 5, '0')"
+PART_CODE = padded("l_partkey", 5)
 REPORT_ELEMENT = pick(REPORT_ELEMENTS, "l_suppkey + l_partkey")
 PERCENT = "CAST(round(l_discount * 100) AS INTEGER)::VARCHAR"
 
 VIEWS = {
     "v_bars": f"""
-SELECT lpad(l_suppkey::VARCHAR, 4, '0') AS ticker, CAST(l_shipdate AS DATE) AS dt,
+SELECT {security('l_suppkey')} AS ticker, CAST(l_shipdate AS DATE) AS dt,
        sum(l_extendedprice) / sum(l_quantity) AS price, sum(l_extendedprice) AS va
 FROM lineitem GROUP BY 1, 2""",
     "v_market": """
@@ -110,7 +122,7 @@ SELECT 'S' || {PART_CODE} AS doc_id,
        l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice
 FROM lineitem""",
     "v_ownership": f"""
-SELECT l_orderkey::VARCHAR AS doc_id, lpad(l_orderkey::VARCHAR, 6, '0') AS issuer_stock_code,
+SELECT l_orderkey::VARCHAR AS doc_id, {padded('l_orderkey', 6)} AS issuer_stock_code,
        CASE WHEN l_linestatus = 'F' THEN {day('l_shipdate')} END AS filing_date,
        {stamp('l_shipdate')} AS known_at, {stamp("l_shipdate + INTERVAL 2 DAY")} AS observed_at,
        'Holder ' || l_suppkey::VARCHAR AS holder_name, l_discount AS holding_ratio,
@@ -119,9 +131,9 @@ SELECT l_orderkey::VARCHAR AS doc_id, lpad(l_orderkey::VARCHAR, 6, '0') AS issue
        l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice
 FROM lineitem""",
     "v_forecast": f"""
-SELECT lpad(c_nationkey::VARCHAR, 3, '0') || substr(c_mktsegment, 1, 1) AS ticker,
+SELECT {padded('c_nationkey', 3)} || substr(c_mktsegment, 1, 1) AS ticker,
        year(o_orderdate)::VARCHAR || '-03-31' AS fy, {day('o_orderdate')} AS disc_date,
-       lpad(o_orderkey::VARCHAR, 10, '0') AS disc_no,
+       {padded('o_orderkey', 10)} AS disc_no,
        o_totalprice AS f1,
        CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice * 0.1::DOUBLE END AS f2,
        CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 0.08::DOUBLE END AS f3,
@@ -136,7 +148,7 @@ SELECT 'S' || l_partkey::VARCHAR AS doc_id, {pick(FACT_ELEMENTS, 'l_suppkey + l_
        CASE WHEN l_linenumber < 6 THEN 'JPY' END AS unit,
        CASE WHEN l_returnflag <> 'R' THEN 'filer' END AS filer_name,
        CASE WHEN l_linestatus = 'O' THEN {day('l_shipdate')} END AS submit_datetime,
-       CASE WHEN l_returnflag = 'A' THEN '△1,' || lpad(l_linenumber::VARCHAR, 3, '0')
+       CASE WHEN l_returnflag = 'A' THEN '△1,' || {padded('l_linenumber', 3)}
             WHEN l_returnflag = 'N' THEN '(' || l_partkey::VARCHAR || ')'
             WHEN l_linenumber < 3 THEN l_partkey::VARCHAR || '%'
             WHEN l_linenumber < 5 THEN '－'
@@ -169,7 +181,7 @@ SELECT l_orderkey::VARCHAR AS doc_id, CASE WHEN l_orderkey < 5000 THEN '350' ELS
 FROM lineitem""",
     "v_documents": f"""
 SELECT {day('o_orderdate')} AS file_date, o_orderkey AS seq_number,
-       'S' || lpad(o_orderkey::VARCHAR, 9, '0') AS doc_id,
+       'S' || {padded('o_orderkey', 9)} AS doc_id,
        CASE o_orderpriority WHEN '1-URGENT' THEN '120' WHEN '2-HIGH' THEN '350' WHEN '3-MEDIUM' THEN '180'
             WHEN '4-NOT SPECIFIED' THEN '220' ELSE '999' END AS doc_type_code,
        CASE WHEN o_orderstatus = 'P' THEN '0' ELSE '1' END AS csv_flag,
@@ -182,8 +194,8 @@ FROM orders""",
     + ", ".join(f"('{c}', '{n}', {p})" for n, (codes, p) in v.DOCUMENT_RULES.items() for c in codes)
     + ") t(doc_type_code, category, priority)",
     "v_master": f"""
-SELECT month || '-01' AS date, lpad(s_suppkey::VARCHAR, 4, '0') AS ticker,
-       lpad(s_suppkey::VARCHAR, 4, '0') || '0' AS jquants_code, s_name || ' ' || l_linestatus AS company_name,
+SELECT month || '-01' AS date, {security('s_suppkey')} AS ticker,
+       {security('s_suppkey')} || '0' AS jquants_code, s_name || ' ' || l_linestatus AS company_name,
        '0' || s_nationkey::VARCHAR AS market_code, 'Market ' || s_nationkey::VARCHAR AS market_name,
        CASE WHEN s_acctbal > 0 THEN '011' END AS product_category,
        {stamp('last_ship')} AS known_at, {stamp("last_ship + INTERVAL 84 DAY")} AS observed_at

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cross_section as xs
 from tidemark.operators import entities, market
-from tidemark.operators.ordered import group_sizes
 from tidemark.plans import adapters, research
-from tidemark.plans.oracle_views import day, quantile, stamp
+from tidemark.plans.oracle_views import day, padded, quantile, security, stamp
 from tidemark.plans.registry import query, report
 
 
@@ -83,10 +82,8 @@ def ftr_forward_returns(spark, sf_dir):
           AND m.momentum_dt <= m.dt AND m.dt < l.outcome_dt""",
 )
 def jon_labels(spark, sf_dir):
-    bars = adapters.bars(spark, sf_dir)
-    sizes = group_sizes(market.prepare_bars(bars), ["ticker"])
-    momentum = market.market_features(bars, features=["momentum_12_1"], sizes=sizes)
-    paired = xs.attach_labels(momentum, market.forward_returns(bars, sizes=sizes))
+    beside = market.momentum_with_returns(adapters.bars(spark, sf_dir))
+    paired = xs.known_pairs(beside.select("*", F.inline("ahead")))
     return report(paired.select("ticker", "date", "value", "horizon_trading_days", "forward_return"), 8)
 
 
@@ -227,24 +224,24 @@ def jon_latest(spark, sf_dir):
         greatest(e.observed_at, q.observed_at) AS observed_at,
         CASE WHEN e.sec_code IS NULL OR q.sec_code IS NULL THEN NULL
              WHEN upper(e.sec_code) = upper(q.sec_code) THEN 'true' ELSE 'false' END AS code_match
-        FROM (SELECT * FROM (SELECT lpad(o_custkey::VARCHAR, 4, '0') AS ticker,
-                     CASE WHEN o_orderstatus = 'F' THEN lpad(o_custkey::VARCHAR, 4, '0')
-                          ELSE lpad(o_custkey::VARCHAR, 4, '0') || '0' END AS sec_code,
-                     'E' || o_custkey::VARCHAR AS edinet_code, 'Filer ' || o_orderkey::VARCHAR AS name,
-                     {stamp('o_orderdate')} AS known_at, {stamp("o_orderdate + INTERVAL 1 DAY")} AS observed_at,
-                     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC,
-                        (CASE WHEN o_orderstatus = 'F' THEN lpad(o_custkey::VARCHAR, 4, '0')
-                              ELSE lpad(o_custkey::VARCHAR, 4, '0') || '0' END) DESC,
-                        'Filer ' || o_orderkey::VARCHAR DESC) AS rn
-                     FROM orders WHERE length(o_custkey::VARCHAR) <= 4) a WHERE rn = 1) e
-        FULL OUTER JOIN (SELECT lpad(s_suppkey::VARCHAR, 4, '0') AS ticker,
-                     lpad(s_suppkey::VARCHAR, 4, '0') || '0' AS sec_code, s_name AS name,
+        FROM (SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY o_orderdate DESC, sec_code DESC, edinet_code || '.0' DESC, name DESC) AS rn
+                FROM (SELECT *, CASE WHEN length(sec_code) = 4 THEN sec_code
+                                     WHEN length(sec_code) = 5 AND right(sec_code, 1) = '0' THEN left(sec_code, 4) END AS ticker
+                      FROM (SELECT o_orderdate, CASE WHEN o_orderstatus = 'F' THEN {padded('o_custkey', 4)}
+                                                     ELSE {padded('o_custkey', 4)} || '0' END AS sec_code,
+                                   'E' || o_custkey::VARCHAR AS edinet_code, 'Filer ' || o_orderkey::VARCHAR AS name,
+                                   {stamp('o_orderdate')} AS known_at, {stamp("o_orderdate + INTERVAL 1 DAY")} AS observed_at
+                            FROM orders) x) y
+                WHERE ticker IS NOT NULL) z WHERE rn = 1) e
+        FULL OUTER JOIN (SELECT {security('s_suppkey')} AS ticker,
+                     {security('s_suppkey')} || '0' AS sec_code, s_name AS name,
                      '1998-01-01T06:00:00Z' AS known_at, '1998-03-26T06:00:00Z' AS observed_at FROM supplier) q
         ON e.ticker = q.ticker""",
 )
 def jon_identifier_map(spark, sf_dir):
     key = F.col("o_custkey").cast("string")
-    short = F.lpad(key, F.greatest(F.length(key), F.lit(4)), "0")
+    short = adapters.padded("o_custkey", 4)
     filers = adapters.table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") == "F", short).otherwise(F.concat(short, F.lit("0"))).alias("sec_code"),
         F.concat(F.lit("E"), key, F.lit(".0")).alias("edinet_code"),
@@ -253,7 +250,7 @@ def jon_identifier_map(spark, sf_dir):
         adapters.stamp_text(adapters.later("o_orderdate", 1)).alias("observed_at"),
     )
     listings = adapters.table(spark, sf_dir, "supplier").select(
-        F.concat(F.lpad(F.col("s_suppkey").cast("string"), 4, "0"), F.lit("0")).alias("Code"),
+        F.concat(adapters.security("s_suppkey"), F.lit("0")).alias("Code"),
         F.col("s_name").alias("CoName"),
         F.lit("1998-01-01T06:00:00Z").alias("known_at"),
         F.lit("1998-03-26T06:00:00Z").alias("observed_at"),

@@ -196,15 +196,15 @@ def qa_series(spark, sf_dir):
                               WHEN length(code) = 4 THEN code END AS security_code,
        CASE WHEN length(code) = 5 AND right(code, 1) = '0' THEN substr(code, 1, 4) ELSE code END AS disclosure_ticker,
        code AS clean_code
-       FROM (SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN lpad(c_custkey::VARCHAR, 4, '0') || '0'
-                    WHEN c_acctbal > 2000 THEN lpad(c_custkey::VARCHAR, 3, '0') || substr(c_mktsegment, 1, 1)
+       FROM (SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN lpad(c_custkey::VARCHAR, greatest(length(c_custkey::VARCHAR), 4)::INTEGER, '0') || '0'
+                    WHEN c_acctbal > 2000 THEN lpad(c_custkey::VARCHAR, greatest(length(c_custkey::VARCHAR), 3)::INTEGER, '0') || substr(c_mktsegment, 1, 1)
                     ELSE c_custkey::VARCHAR END AS code FROM customer) x""",
 )
 def scl_codes(spark, sf_dir):
     key, balance = F.col("c_custkey").cast("string"), F.col("c_acctbal")
     code = (
-        F.when(balance > 5000, F.concat(F.lpad(key, 4, "0"), F.lit("0 ")))
-        .when(balance > 2000, F.concat(F.lit("　"), F.lpad(key, 3, "0"), F.substring("c_mktsegment", 1, 1)))
+        F.when(balance > 5000, F.concat(adapters.padded(key, 4), F.lit("0 ")))
+        .when(balance > 2000, F.concat(F.lit("　"), adapters.padded(key, 3), F.substring("c_mktsegment", 1, 1)))
         .otherwise(F.concat(key, F.lit(".0")))
     )
     return adapters.table(spark, sf_dir, "customer").select(

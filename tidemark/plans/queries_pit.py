@@ -270,7 +270,15 @@ def pit_rebuild(spark, sf_dir):
     return pit.rebuild_state([listed, operated], DECISION, ["doc_id"]).select("doc_id", "version", "known_at")
 
 
-@query("pit_record_hash")
+def _record_json() -> str:
+    """The record as JSON text in the view's columns; fields the sample lacks are null."""
+    have = {c: c for c in ("seq_number", "doc_id", "doc_type_code", "csv_flag", "submit_datetime")}
+    have["operation_datetime"] = "strftime(operated, '%Y-%m-%dT%H:%M:%S')"
+    cells = [f'"{f}" := {have.get(c, "NULL::VARCHAR")}' for f, c in sorted(v.FILING_FIELDS.items())]
+    return f"CAST(to_json(struct_pack({', '.join(cells)})) AS VARCHAR)"
+
+
+@query("pit_record_hash", f"SELECT doc_id, sha256({_record_json()}) AS record_sha256 FROM v_documents")
 def pit_record_hash(spark, sf_dir):
     """Canonical hash over the 29 provider fields; fields the sample lacks are null."""
     documents = adapters.document_list(spark, sf_dir)

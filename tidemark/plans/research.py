@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cross_section as xs
 from tidemark.operators.entities import filter_to_universe
-from tidemark.operators.market import forward_returns, market_features, prepare_bars
-from tidemark.operators.ordered import group_sizes_of
+from tidemark.operators.market import momentum_with_returns
 
 
 def factor_spread(
@@ -19,7 +18,6 @@ def factor_spread(
     exposures: DataFrame | None = None,
     n_quantiles: int = 5,
     high_is_good: bool = True,
-    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Long-short return per date of one feature.
 
@@ -40,7 +38,6 @@ def factor_spread(
         n_quantiles=n_quantiles,
         high_is_good=high_is_good,
         ties=["ticker", "known_at"],
-        sizes=sizes,
     ).where(F.col("quantile").isNotNull())
     realised = xs.attach_labels(bucketed, labels)
     means = realised.groupBy("date", "quantile").agg(F.avg("forward_return").alias("mean_return"))
@@ -49,7 +46,8 @@ def factor_spread(
 
 def momentum_spread(bars: DataFrame, *, horizon: int = 21, n_quantiles: int = 5) -> DataFrame:
     """Long-short return of 12-1 momentum per date."""
-    by_ticker, by_date = group_sizes_of(prepare_bars(bars), [["ticker"], ["date"]])
-    momentum = market_features(bars, features=["momentum_12_1"], sizes=by_ticker)
-    labels = forward_returns(bars, horizons=[horizon], sizes=by_ticker)
-    return factor_spread(momentum, labels, n_quantiles=n_quantiles, sizes=by_date)
+    beside = momentum_with_returns(bars, horizons=[horizon])
+    bucketed = xs.assign_quantiles(beside, factor="value", n_quantiles=n_quantiles, ties=["ticker", "known_at"])
+    realised = xs.known_pairs(bucketed.where(F.col("quantile").isNotNull()).select("*", F.inline("ahead")))
+    means = realised.groupBy("date", "quantile").agg(F.avg("forward_return").alias("mean_return"))
+    return xs.long_short_spread(means)

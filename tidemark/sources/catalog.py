@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructType, _pars
 
 from tidemark import vocabulary as v
 from tidemark.functions.times import to_utc
+from tidemark.operators.normalize import split_rejects
 
 _TABLES = "GET_STATS_LIST.DATALIST_INF.TABLE_INF"
 
@@ -30,6 +31,13 @@ def _reach(column: Column, path: tuple[str, ...]) -> Column:
     return reduce(lambda c, name: c.getField(name), path, column)
 
 
+def catalog_rejects(payloads: DataFrame) -> DataFrame:
+    """Payloads that are not JSON or lack the catalog's object, with ``error``; they give no tables."""
+    readable = F.try_parse_json("payload").isNotNull()
+    listed = F.get_json_object("payload", f"$.{_TABLES.rpartition('.')[0]}").isNotNull()
+    return split_rejects(payloads, {"unreadable payload": ~readable, "no catalog object": ~listed})[1]
+
+
 def flatten_tables(payloads: DataFrame, table_schema: StructType | str, run_id: str) -> DataFrame:
     """One row per catalog table, nested fields as dotted columns.
 
@@ -55,16 +63,16 @@ def flatten_tables(payloads: DataFrame, table_schema: StructType | str, run_id:
 
 
 def infer_table_schema(payloads: DataFrame) -> StructType:
-    """Merged schema of all tables in the payloads, found by Spark's own JSON inference.
+    """Merged schema of all tables in the payloads, found by Spark's own inference over variants.
 
     One distributed pass.  Numbers and texts of one field widen to text.
     """
-    spark = payloads.sparkSession
     body = F.get_json_object("payload", f"$.{_TABLES}")
     listed = F.when(F.ltrim(body).startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
     elements = payloads.select(F.explode(F.from_json(listed, "array<string>")).alias("value"))
-    merged = spark.read.json(elements.rdd.map(lambda row: row["value"]))
-    return _as_text(merged.schema)
+    found = elements.agg(F.schema_of_variant_agg(F.try_parse_json("value")).alias("s")).first()["s"]
+    schema = _parse_datatype_string(found.replace("OBJECT<", "STRUCT<")) if found and found.startswith("OBJECT<") else StructType()
+    return _as_text(schema)
 
 
 def _as_text(kind: DataType) -> DataType:

@@ -10,6 +10,7 @@ import csv
 import hashlib
 import io
 import itertools
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -38,8 +39,9 @@ _FACT_SCHEMA = from_arrow_schema(_ARROW_SCHEMA)
 
 
 def is_fact_member(name: str) -> bool:
-    lowered = name.lower()
-    return lowered.endswith(".csv") and v.PACKAGE_FACT_FOLDER in lowered.replace("\\", "/")
+    """Whether an archive member is a table with the fact folder in its path; either slash parts it."""
+    parts = [part.casefold() for part in re.split(r"[/\\]", name)]
+    return parts[-1].endswith(".csv") and any(v.PACKAGE_FACT_FOLDER in part for part in parts)
 
 
 def decode_table(raw: bytes) -> str:

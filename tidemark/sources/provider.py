@@ -14,13 +14,14 @@ _MIDNIGHT = "00:00:00"
 
 
 def _moment_text(name: str, kind) -> Column:
-    """A date or timestamp as text; midnight stamps keep only their date."""
+    """A date or timestamp as text; midnight stamps keep only their date, fractions of a second stay."""
     if isinstance(kind, DateType):
         return F.date_format(name, "yyyy-MM-dd").alias(name)
-    whole_day = F.date_format(name, "HH:mm:ss") == _MIDNIGHT
+    whole_day = (F.date_format(name, "HH:mm:ss") == _MIDNIGHT) & (F.date_format(name, "SSSSSS") == "000000")
+    fraction = F.when(F.date_format(name, "SSSSSS") != "000000", F.concat(F.lit("."), F.date_format(name, "SSSSSS")))
     return (
         F.when(whole_day, F.date_format(name, "yyyy-MM-dd"))
-        .otherwise(F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.concat(F.date_format(name, "yyyy-MM-dd HH:mm:ss"), F.coalesce(fraction, F.lit(""))))
         .alias(name)
     )
 

@@ -11,7 +11,7 @@ from tidemark.functions.times import iso_z, known_from_update, to_utc, update_da
 from tidemark.operators.normalize import split_rejects
 
 RESPONSE_SCHEMA = """
-    STATUS INT,
+    STATUS STRING, NEXTPOSITION STRING,
     RESULTSET ARRAY<STRUCT<
         SERIES_CODE: STRING, NAME_OF_TIME_SERIES: STRING, UNIT: STRING, FREQUENCY: STRING,
         CATEGORY: STRING, LAST_UPDATE: STRING,
@@ -25,9 +25,28 @@ def series_value(text: Column) -> Column:
     return F.when(~F.isnan(parsed), parsed)
 
 
-def series_items(payloads: DataFrame) -> DataFrame:
-    """One row per returned series.  ``payloads`` has ``dataset, db, payload`` and any lineage columns."""
+def _failures() -> dict[str, Column]:
+    """Conditions on a parsed response under which none of its series is read."""
+    status, following = F.col("__body.STATUS"), F.coalesce(F.col("__body.NEXTPOSITION"), F.lit(""))
+    return {
+        "unreadable payload": status.isNull() & F.col("__body.RESULTSET").isNull(),
+        "status is not 200": F.coalesce(status.try_cast("int"), F.lit(0)) != 200,
+        "more pages follow": ~following.isin("", "0"),
+    }
+
+
+def series_rejects(payloads: DataFrame) -> DataFrame:
+    """Responses that give no series, with ``error``: unreadable, failed, or one page of several."""
     parsed = payloads.withColumn("__body", F.from_json("payload", RESPONSE_SCHEMA))
+    return split_rejects(parsed, _failures())[1].drop("__body")
+
+
+def series_items(payloads: DataFrame) -> DataFrame:
+    """One row per returned series.  ``payloads`` has ``dataset, db, payload`` and any lineage columns.
+
+    Responses listed by ``series_rejects`` give none.
+    """
+    parsed, _ = split_rejects(payloads.withColumn("__body", F.from_json("payload", RESPONSE_SCHEMA)), _failures())
     # The outer form keeps Spark from testing the parsed array before exploding it, a second parse.
     exploded = parsed.withColumn("item", F.explode_outer("__body.RESULTSET")).drop("payload", "__body")
     exploded = exploded.where(F.col("item").isNotNull())
