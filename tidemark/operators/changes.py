@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import number
@@ -25,27 +25,31 @@ def _compare(
     compared: Mapping[str, Column],
     newest: Sequence[Column],
 ) -> DataFrame:
-    """Current rows that are absent from, or differ from, the previous snapshot.
+    """Current rows that are absent from, or differ from, the version before.
 
-    Each previous key is used once, so rows are never multiplied; nulls match
+    ``current`` may hold several versions of a key, told apart by ``observed_at``: each is compared with the one before it,
+    the first with the previous snapshot.  Each previous key is used once, so rows are never multiplied; nulls match
     nulls.  Records that vanished are not reported.
     """
+    seen = Window.partitionBy(*key).orderBy(to_utc(F.col("observed_at")).asc_nulls_first(), *[c.asc() for c in compared.values()])
+    inside = {f"__before_{name}": F.lag(expr).over(seen) for name, expr in compared.items()}
+    rows = current.withColumns({"__nth": F.row_number().over(seen), **inside})
+    later = F.col("__nth") > 1
     if previous is None:
-        return current.withColumn("change_type", F.lit("new"))
-    old = first_of_group(previous, key, newest).select(
-        *[F.col(k).alias(f"__key_{k}") for k in key],
-        *[expr.alias(f"__old_{name}") for name, expr in compared.items()],
-        F.lit(True).alias("__found"),
-    )
-    matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in key])
-    same = reduce(lambda a, b: a & b, [expr.eqNullSafe(F.col(f"__old_{name}")) for name, expr in compared.items()])
-    change = F.when(F.col("__found").isNull(), "new").when(~same, "revised")
-    return (
-        current.join(old, matches, "left")
-        .withColumn("change_type", change)
-        .where(F.col("change_type").isNotNull())
-        .select(*current.columns, "change_type")
-    )
+        found, old = later, {name: F.col(f"__before_{name}") for name in compared}
+    else:
+        snapshot = first_of_group(previous, key, newest).select(
+            *[F.col(k).alias(f"__key_{k}") for k in key],
+            *[expr.alias(f"__old_{name}") for name, expr in compared.items()],
+            F.lit(True).alias("__found"),
+        )
+        matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in key])
+        rows = rows.join(snapshot, matches, "left")
+        found = later | F.col("__found").isNotNull()
+        old = {name: F.when(later, F.col(f"__before_{name}")).otherwise(F.col(f"__old_{name}")) for name in compared}
+    same = reduce(lambda a, b: a & b, [expr.eqNullSafe(old[name]) for name, expr in compared.items()])
+    change = F.when(~found, "new").when(~same, "revised")
+    return rows.withColumn("change_type", change).where(F.col("change_type").isNotNull()).select(*current.columns, "change_type")
 
 
 def filing_changes(current: DataFrame, previous: DataFrame | None) -> DataFrame:

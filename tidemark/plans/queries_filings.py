@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
@@ -12,19 +14,26 @@ from tidemark.operators.financial import financial_features
 from tidemark.plans import adapters
 from tidemark.plans.oracle_views import ROW_ORDER, day, iso
 from tidemark.plans.registry import query, report
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import catalog, datasets, documents, provider, series
 
 
 @query(
     "src_partitioned_read",
-    """SELECT o_orderpriority, count(*) AS orders, round(sum(o_totalprice), 2) AS amount
-       FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY 1""",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice, {day('o_orderdate')} AS order_day,
+        CASE WHEN year(o_orderdate) >= 1997 THEN o_orderpriority END AS o_orderpriority, year(o_orderdate)::INTEGER AS order_year
+        FROM orders""",
 )
 def src_partitioned_read(spark, sf_dir):
-    orders = datasets.read_dataset(spark, f"{sf_dir}/orders.parquet")
-    recent = orders.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz"))
+    """All orders written by year, older years without a later column, and read back by partition and by name."""
+    root = f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}"
+    orders = adapters.table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    datasets.write_dataset(orders.where("order_year < 1997").drop("o_orderpriority"), root, ["order_year"], mode="append")
+    datasets.write_dataset(orders.where("order_year >= 1997"), root, ["order_year"], mode="append")
+    stored = datasets.read_dataset(spark, root)
+    day_of = F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day")
     return report(
-        recent.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("amount")), 2
+        stored.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", day_of, "o_orderpriority", "order_year"), 2
     )
 
 
@@ -72,12 +81,45 @@ def src_series_json(spark, sf_dir):
 
 @query(
     "nrm_rejects",
-    """SELECT event_id, 'U' || user_id::VARCHAR AS series_id, 'dates and values differ in length' AS error
-       FROM events WHERE event_type = 'error'""",
+    """SELECT event_id, 'dates and values differ in length' AS error FROM events WHERE event_type = 'error' AND event_id % 5 > 2
+       UNION ALL
+       SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'unreadable payload' WHEN 1 THEN 'status is not 200'
+                                          ELSE 'more pages follow' END FROM events WHERE event_id % 5 <= 2
+       UNION ALL
+       SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'unreadable payload' WHEN 1 THEN 'status is not 200'
+                                              ELSE 'bad seqNumber' END FROM orders WHERE o_orderkey % 4 <= 2
+       UNION ALL
+       SELECT c_custkey, CASE c_custkey % 2 WHEN 0 THEN 'unreadable payload' ELSE 'no catalog object' END FROM customer""",
 )
 def nrm_rejects(spark, sf_dir):
-    _, rejected = series.read_series(series.series_items(_series_payloads(spark, sf_dir)), "run")
-    return rejected.select("event_id", F.col("item.SERIES_CODE").alias("series_id"), "error")
+    """Everything readers refuse: responses as a whole, and series whose arrays differ in length."""
+    kind = F.col("event_id") % 5
+    broken = (
+        F.when(kind == 0, F.lit("{broken"))
+        .when(kind == 1, F.lit('{"STATUS":500,"RESULTSET":[]}'))
+        .when(kind == 2, F.regexp_replace("payload", '^\\{', '{"NEXTPOSITION":7,'))
+        .otherwise(F.col("payload"))
+    )
+    payloads = _series_payloads(spark, sf_dir).withColumn("payload", broken)
+    _, unequal = series.read_series(series.series_items(payloads), "run")
+    order = F.col("o_orderkey")
+    listed = (
+        F.when(order % 4 == 0, F.lit("[oops"))
+        .when(order % 4 == 1, F.lit('{"metadata":{"status":"404"},"results":[]}'))
+        .when(order % 4 == 2, F.lit('{"metadata":{"status":"200"},"results":[{"seqNumber":"x"}]}'))
+        .otherwise(F.format_string('{"metadata":{"status":"200"},"results":[{"seqNumber":"%d"}]}', order))
+    )
+    lists = adapters.table(spark, sf_dir, "orders").select("o_orderkey", listed.alias("payload"))
+    customer = F.col("c_custkey")
+    terms = adapters.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(customer % 2 == 0, F.lit("<html>")).otherwise(F.lit('{"error":1}')).alias("payload")
+    )
+    return (
+        unequal.select("event_id", "error")
+        .union(series.series_rejects(payloads).select("event_id", "error"))
+        .union(documents.document_list_rejects(lists).select("o_orderkey", "error"))
+        .union(catalog.catalog_rejects(terms).select("c_custkey", "error"))
+    )
 
 
 @query(

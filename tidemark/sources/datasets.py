@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.text import content_hash
+from tidemark.session import ensure_checkpoint_dir
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on whatever Hadoop file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job wrote; a missing one is no error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def read_dataset(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
@@ -73,16 +86,11 @@ def replace_documents(
     Only the touched partitions are read and rewritten, after a reliable checkpoint
     has separated the read from the overwrite.
     """
-    from tidemark.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    try:
-        stored = read_dataset(spark, root)
-    except Exception as error:  # nothing written yet
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
+    if not path_exists(spark, root):  # nothing written yet
         write_dataset(rows, root, [partition])
         return
+    ensure_checkpoint_dir(spark)
+    stored = read_dataset(spark, root)
     touched = rows.select(partition).distinct()
     kept = (
         stored.withColumn(partition, F.col(partition).cast(rows.schema[partition].dataType))

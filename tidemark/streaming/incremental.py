@@ -11,24 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.changes import filing_changes
 from tidemark.operators.forecast import forecast_revisions_with_state
-from tidemark.sources.datasets import write_dataset
-
-
-def _exists(spark: SparkSession, path: str, name: str = "") -> bool:
-    """Whether a path, or a file in it, exists on whatever Hadoop file system holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}" if name else path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+from tidemark.sources.datasets import path_exists, remove_path, write_dataset
 
 
 def _finished(spark: SparkSession, path: str) -> bool:
     """Whether a whole-folder write has committed."""
-    return _exists(spark, path, "_SUCCESS")
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def incoming_files(
@@ -60,7 +54,7 @@ def start_ingest(
 def start_change_log(stream: DataFrame, snapshot: str, changes: str, checkpoint: str) -> StreamingQuery:
     """Compare each micro-batch of document lists with the stored snapshot.
 
-    A batch holds complete lists for its file dates.  Changes go to their own
+    A batch holds complete lists for its file dates, one or more of each.  Changes go to their own
     ``batch_id`` folder, then the snapshot of those dates is replaced.  When a
     batch is replayed after its changes were written, the comparison is skipped,
     because the snapshot may already hold the new rows.
@@ -73,11 +67,13 @@ def start_change_log(stream: DataFrame, snapshot: str, changes: str, checkpoint:
             log = f"{changes}/batch_id={batch_id}"
             if not _finished(spark, log):
                 previous = None
-                if _exists(spark, snapshot):
+                if path_exists(spark, snapshot):
                     stored = spark.read.schema(batch.schema).parquet(snapshot)
                     previous = stored.join(batch.select("file_date").distinct(), "file_date", "left_semi")
                 write_dataset(filing_changes(batch, previous), log)
-            write_dataset(batch, snapshot, ["file_date"])
+            # A backlog may hold several lists of a date; the last one is the state.
+            last = batch.groupBy("file_date").agg(F.max("observed_at").alias("observed_at"))
+            write_dataset(batch.join(last, ["file_date", "observed_at"], "left_semi"), snapshot, ["file_date"])
         finally:
             batch.unpersist()
 
@@ -99,12 +95,15 @@ def start_forecast_revisions(stream: DataFrame, features: str, state: str, check
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = f"{state}/version={batch_id - 1}"
-        known = spark.read.parquet(before) if batch_id > 0 and _finished(spark, before) else None
+        if batch_id > 0 and not _finished(spark, before):
+            raise RuntimeError(f"the state before batch {batch_id} is lost: {before}")
+        known = spark.read.parquet(before) if batch_id > 0 else None
         batch.persist()
         try:
             emitted, updated = forecast_revisions_with_state(batch, known)
             write_dataset(emitted, f"{features}/batch_id={batch_id}")
             write_dataset(updated, f"{state}/version={batch_id}")
+            remove_path(spark, f"{state}/version={batch_id - 2}")  # a replay needs the version before only
         finally:
             batch.unpersist()
 
