@@ -126,9 +126,20 @@ def drop_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     kept = deduplicate(docs, index).where("kept").select(
         F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
     )
-    mark, number = (f"{name}_{uuid.uuid4().hex}" for name in ("digest", "number"))
-    marked = docs.withColumn(mark, text_digest("text"))
-    same = marked["doc_id"].cast("long").eqNullSafe(F.col("kept_id")) & (marked[mark] == F.col("kept_digest"))
-    stay = marked.join(kept, same, "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", mark).orderBy(F.lit(0)))
-    return stay.withColumn(number, first).where(F.col(number) == 1).drop(mark, number)
+    # The join and the choice of one row use the same plain columns, so the texts are shuffled once.
+    tail = uuid.uuid4().hex
+    names = [f"{name}_{tail}" for name in ("id", "none", "digest", "number")]
+    id_, none, digest, number = names
+    marked = docs.withColumns(
+        {
+            id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+            none: F.col("doc_id").isNull(),
+            digest: text_digest("text"),
+        }
+    )
+    keys = kept.select(
+        F.coalesce("kept_id", F.lit(0)).alias(id_), F.col("kept_id").isNull().alias(none), F.col("kept_digest").alias(digest)
+    )
+    stay = marked.join(keys, names[:3], "left_semi")
+    first = F.row_number().over(Window.partitionBy(*names[:3]).orderBy(F.lit(0)))
+    return stay.withColumn(number, first).where(F.col(number) == 1).drop(*names)
