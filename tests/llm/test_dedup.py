@@ -169,3 +169,56 @@ def test_components(spark, seed):
     nodes = {n for a, b in links if a != b for n in (a, b)}
     out = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == components([x for x in links if x[0] != x[1]], nodes)
+
+
+def crowd_rows(count=2400, planted=80):
+    """Texts of one source at 0.72 to each other; pairs of them share some more words, at 0.755 to 0.79."""
+    rng = random.Random(7)
+    head = words(rng, 160)
+    rows, links = [], []
+    for i in range(count):
+        rows.append([i, [f"u{i}.{k}" for k in range(30)]])
+    for k in range(planted):
+        a, b = k, count - 1 - (k * 37) % (count // 2)
+        extra = [f"p{k}.{n}" for n in range(8 + k % 5)]
+        for x in (a, b):
+            rows[x][1][10 : 10 + len(extra)] = extra
+        links.append((a, b))
+    order = list(range(count))
+    rng.shuffle(order)
+    return [(order[i], f"{head} {' '.join(own)}") for i, own in rows], {tuple(sorted((order[a], order[b]))) for a, b in links}
+
+
+def test_planted_links_in_a_dense_region(spark, frame):
+    """More alike rows than any reach, all just below the threshold, and every planted link is found."""
+    rows, planted = crowd_rows()
+    sets, sizes = shingle_sets([t for _, t in rows])
+    shared = np.unique(sets, return_counts=True)
+    some = shared[0][shared[1] > 1]
+    ones = np.zeros((len(rows), len(some)), np.float32)
+    row, at = np.repeat(np.arange(len(rows)), sizes), np.minimum(np.searchsorted(some, sets), len(some) - 1)
+    ones[row[some[at] == sets], at[some[at] == sets]] = 1
+    both = ones @ ones.T
+    alike = np.triu(both / (sizes[:, None] + sizes[None] - both), 1)
+    links = {tuple(sorted((rows[a][0], rows[b][0]))) for a, b in zip(*np.nonzero(alike >= 0.75))}
+    assert links == planted and 0.70 < np.median(alike[alike > 0]) < 0.74
+    out = nd.deduplicate(frame([(*r, "") for r in rows], SCHEMA).repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in out} == components(links, [i for i, _ in rows])
+
+
+def test_links_by_common_shingles_only(spark, frame):
+    """A source whose texts differ by words of their own: links between them share no rare shingle."""
+    rng = random.Random(3)
+    head = words(rng, 100).split()
+    rows = []
+    for i in range(900):
+        text = list(head)
+        for k in rng.sample(range(0, 100, 6), 0 if i % 300 == 7 else rng.choice([2, 3, 4, 5])):
+            text[k] = f"u{i}.{k}"
+        rows.append((i, " ".join(text)))
+    docs = frame([(*r, "") for r in rows], SCHEMA)
+    crowd = docs.selectExpr("doc_id", "0L as hub")
+    sets = nd.crowd_shingles(crowd, docs)
+    found = nd.common_links(sets.selectExpr("doc_id", "doc_id as label", "size", "common"), crowd).collect()
+    expected, _ = brute(rows)
+    assert components([tuple(r) for r in found], [i for i, _ in rows]) == expected

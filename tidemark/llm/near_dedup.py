@@ -8,6 +8,10 @@ signatures is cut like any other.  Candidates are neighbours with a longest
 common prefix: in a sparse region the prefix is one hash, in a dense one the
 neighbours in reach share many, so the depth adapts to the region.  Signatures
 then tell hopeless pairs apart, and links are confirmed on full shingle sets.
+
+Documents whose first hash more than ``REACH`` share may have partners out of
+reach.  A second pass finds these exactly: pairs that share a rare shingle by a
+prefix filter, and pairs that share common shingles only by their overlaps.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ SHINGLE = 5
 PERCENT = 75
 TREES, DEPTH = 12, 8
 REACH = 48
+#: Shingles of at most so many crowded documents count as rare; crowded documents on each side of a cell.
+RARE, CELL = 48, 500
 #: Estimated similarity below which a pair is not looked at, and from which links may stand for others: four
 #: deviations of an estimate from the threshold, and three.
 HOPELESS, CONFIDENT = 0.55, 0.88
@@ -279,6 +285,146 @@ def similar(s: np.ndarray, t: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(s) + len(t) - both)
 
 
+def crowded(representatives: DataFrame) -> DataFrame:
+    """``doc_id, hub``: documents in a region (equal first hash in a tree) longer than the reach, and the region's smallest id.
+
+    A pair in no such region has met all of its regions in full, so only pairs of these documents can be out of reach.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            raw = b"".join(batch.column("signature").to_pylist())
+            heads = np.frombuffer(raw, np.uint32).reshape(n, TREES, DEPTH)[:, :, 0].astype(np.int64)
+            heads = heads + (np.arange(TREES, dtype=np.int64) << 32)
+            docs = np.repeat(batch.column("doc_id").to_numpy(), TREES)
+            yield pa.record_batch([pa.array(heads.ravel()), pa.array(docs)], names=["head", "doc_id"])
+
+    heads = representatives.select("doc_id", "signature").mapInArrow(run, "head long, doc_id long")
+    long = heads.groupBy("head").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where(F.col("n") > REACH)
+    return heads.join(long, "head").select("doc_id", "hub").distinct()
+
+
+def crowd_shingles(crowd: DataFrame, docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, size, rare, common`` of every text of crowded documents.
+
+    ``rare`` are the rare shingles of the prefix, rarest first, in which a pair over the threshold shares its rarest common
+    shingle; ``common`` are all others that more than ``RARE`` texts have.  A shingle of one text is in neither.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2_000_000):
+            sets, sizes = shingle_sets(batch.column("text").to_pylist(), width)
+            offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sets.view(np.int64)))
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("version"), pa.array(sizes.astype(np.int64)), shingles],
+                names=["doc_id", "version", "size", "shingles"],
+            )
+
+    texts = documents(docs).join(crowd.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = texts.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    sets = texts.mapInArrow(run, "doc_id long, version long, size long, shingles array<long>").where("size > 0")
+    rows = sets.select("doc_id", "version", "size", F.explode("shingles").alias("shingle"))
+    rows = materialize(rows, "crowd-shingles")
+    spread = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    # A row repeated with equal text has its shingles twice; the set keeps one of each.
+    sets = rows.join(spread, "shingle").groupBy("doc_id", "version", "size").agg(
+        F.sort_array(F.collect_set(F.struct("n", "shingle"))).alias("shared")
+    )
+    need = F.ceil(F.col("size") * percent / 100)
+    prefix = F.greatest(F.size("shared") - need + 1, F.lit(0)).cast("int")  # shingles of one text come first
+    return sets.select(
+        "doc_id",
+        "size",
+        F.filter(F.slice("shared", F.lit(1), prefix), lambda x: x["n"] <= RARE)["shingle"].alias("rare"),
+        F.filter("shared", lambda x: x["n"] > RARE)["shingle"].alias("common"),
+    )
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common elements of every left and every right set."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    sides = [(np.repeat(np.arange(len(x)), [len(s) for s in x]), np.concatenate(x)) for x in (left, right)]
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    for k in range(0, len(both), 4000):
+        some = both[k : k + 4000]
+        ones = []
+        for (row, value), n in zip(sides, out.shape):
+            at = np.minimum(np.searchsorted(some, value), len(some) - 1)
+            hit = some[at] == value
+            m = np.zeros((n, len(some)), np.float32)
+            m[row[hit], at[hit]] = 1
+            ones.append(m)
+        out += ones[0] @ ones[1].T
+    return out
+
+
+def common_links(sets: DataFrame, crowd: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` among texts of one region whose common shingles alone overlap enough, unless links connect them already.
+
+    ``sets`` have a ``label`` by the links known so far.  Every two such texts are compared, in cells of bounded size; a
+    cell gives at most one link per document.
+    """
+    sets = sets.where(100 * F.size("common") >= percent * F.col("size"))
+    inside = crowd.join(sets.select("doc_id").distinct(), "doc_id", "left_semi")
+    regions = connected_components(inside.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")))
+    sets = materialize(sets.join(regions.withColumnsRenamed({"node": "doc_id", "component": "region"}), "doc_id"), "common-sets")
+    parts = sets.groupBy("region").agg(
+        F.ceil(F.greatest(F.count("*") / CELL, F.sum("size") / (CELL * 2000))).alias("parts"), F.count_distinct("label").alias("labels")
+    )
+    dealt = sets.join(parts.where("labels > 1"), "region").withColumn("part", F.pmod(F.xxhash64("doc_id", "size"), F.col("parts")))
+    other = dealt.select("region", "part", "doc_id", "label", "size", "common", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
+    cells = other.select(
+        "region", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), "part", "doc_id", "label", "size", "common"
+    )
+
+    def compare(cell: pa.Table) -> pa.Table:
+        part, doc, label, size = (cell[c].to_numpy() for c in ("part", "doc_id", "label", "size"))
+        i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
+        flat, ends = cell["common"].combine_chunks(), np.cumsum(cell["common"].combine_chunks().value_lengths().to_numpy())
+        lists = np.split(flat.flatten().to_numpy(), ends[:-1])
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        out: tuple[list[int], list[int]] = ([], [])
+        if len(left) and len(right):
+            both = _overlaps([lists[x] for x in left], [lists[x] for x in right])
+            union = size[left][:, None] + size[right][None] - both
+            x, y = np.nonzero((100 * both >= percent * union) & (label[left][:, None] != label[right][None]))
+            root: dict[int, int] = {}
+
+            def find(n: int) -> int:
+                while root.setdefault(n, n) != n:
+                    root[n] = n = root[root[n]]
+                return n
+
+            for a, b in zip(left[x].tolist(), right[y].tolist()):
+                p, q = find(label[a]), find(label[b])
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    out[0].append(min(doc[a], doc[b]))
+                    out[1].append(max(doc[a], doc[b]))
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return cells.groupBy("region", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def crowd_links(representatives: DataFrame, docs: DataFrame, links: DataFrame) -> DataFrame:
+    """Links ``a, b`` that pairs out of reach add to the given ones."""
+    crowd = materialize(crowded(representatives), "crowd")
+    labels = connected_components(links).withColumnsRenamed({"node": "doc_id", "component": "label"})
+    sets = crowd_shingles(crowd, docs).join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    sets = materialize(sets, "crowd-sets")
+    rare = sets.select("doc_id", "label", "size", F.explode("rare").alias("shingle"))
+    pairs = rare.alias("x").join(rare.alias("y"), "shingle").where(
+        (F.col("x.doc_id") < F.col("y.doc_id"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (100 * F.least("x.size", "y.size") >= PERCENT * F.greatest("x.size", "y.size"))
+    )
+    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct().withColumn("alike", F.lit(0.0))
+    found = confirm(materialize(pairs, "rare-pairs"), docs)
+    return found.unionByName(common_links(sets.select("doc_id", "label", "size", "common"), crowd))
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document.
 
@@ -292,8 +438,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     classes = linked.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
     classes = materialize(classes, "classes")
     representatives = sketches.select("doc_id", "set_key", "signature").join(classes, ["doc_id", "set_key"]).dropDuplicates(["doc_id", "set_key"])
-    pairs = materialize(candidates(materialize(representatives.select("doc_id", "signature"), "representatives")), "pairs")
+    representatives = materialize(representatives.select("doc_id", "signature"), "representatives")
+    pairs = materialize(candidates(representatives), "pairs")
     links = materialize(confirm(pairs, docs), "links")
+    links = links.unionByName(materialize(crowd_links(representatives, docs, links), "crowd-links"))
     labels = connected_components(links)
     named = classes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "set_key", F.coalesce("component", "doc_id").alias("component_id")
