@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes, monitor
+from tidemark import vocabulary as v
+from tidemark.operators import changes, monitor, normalize
 from tidemark.plans import adapters
 from tidemark.sources import catalog, documents, packages, provider, series
 from tidemark.streaming import incremental
@@ -132,3 +133,32 @@ def test_lost_state_is_an_error(spark, tmp_path):
     remove_path(spark, f"{paths[1]}/version=2")
     with pytest.raises(Exception, match="is lost"):
         feed(3)
+
+
+def test_facts_without_a_document(spark):
+    """Facts without a doc_id and packages without a list row are listed; valid and rejected rows are the input."""
+    rows = [("a", "x:NetSales", "1"), (None, "x:NetSales", "2"), (None, "x:Other", None), ("b", "x:NetSales", "3")]
+    facts = spark.createDataFrame(rows, "doc_id string, element_id string, value string").withColumns(
+        {"context_id": F.lit("c"), "doc_type_code": F.lit("350")})
+    valid, rejected = normalize.split_facts(facts)
+    assert sorted(r.value or "" for r in rejected.collect()) == ["", "2"] and {r.error for r in rejected.collect()} == {"no doc_id"}
+    assert valid.count() + rejected.count() == facts.count()
+    aliases = spark.createDataFrame([("NetSales", "net_sales")], "local_name string, metric string")
+    assert sorted(r.doc_id for r in normalize.financial_metrics(facts, "run", aliases=aliases).collect()) == ["a", "b"]
+    assert sorted(r.doc_id for r in normalize.ownership_summary(facts, "run").collect()) == ["a", "b"]
+
+
+def test_packages_without_a_list_row(spark):
+    columns = ["path", "package_sha256", "csv_file_name", "csv_sha256", "error", *v.FACT_COLUMNS]
+    paths = [("in/A.zip", None), ("in/B.zip", None), ("in/A.zip", None), ("in/C.zip", "not a ZIP"), ("in/odd", None)]
+    rows = spark.createDataFrame([(p, "h", "f", "s", e, *["x"] * len(v.FACT_COLUMNS)) for p, e in paths],
+                                 ", ".join(f"{c} string" for c in columns)).withColumn("row_number", F.lit(0).cast("long"))
+    names = ["category", "doc_type_code", "doc_description", "edinet_code", "sec_code", "filer_name", "issuer_edinet_code",
+             "subject_edinet_code", "parent_doc_id", "period_start", "period_end", "submit_datetime", "operation_datetime", "source_url"]
+    listed = spark.createDataFrame([("A",), ("C",)], "doc_id string").withColumns({n: F.lit(None).cast("string") for n in names})
+    listed = listed.withColumn("observed_at", F.lit("2024-01-01T00:00:00Z"))
+    valid, rejected = packages.package_facts(rows, listed, "run"), packages.package_rejects(rows, listed)
+    assert [r.doc_id for r in valid.collect()] == ["A", "A"]
+    assert sorted((r.path, r.error) for r in rejected.collect()) == [
+        ("in/B.zip", "no list row"), ("in/C.zip", "not a ZIP"), ("in/odd", "no list row")]
+    assert valid.count() + rejected.count() == rows.count()

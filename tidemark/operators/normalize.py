@@ -61,6 +61,11 @@ def split_rejects(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFram
     return marked.where(F.col("error").isNull()).drop("error"), marked.where(F.col("error").isNotNull())
 
 
+def split_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(facts of a document, rejected facts that name none), the latter with their ``error``."""
+    return split_rejects(facts, {"no doc_id": F.col("doc_id").isNull()})
+
+
 def financial_metrics(
     facts: DataFrame,
     run_id: str,
@@ -72,9 +77,11 @@ def financial_metrics(
     """One row per (fact, metric) whose element is an alias of a canonical metric.
 
     Identity texts are the first non-blank of the whole document, also when
-    they stand on facts that match no alias.
+    they stand on facts that match no alias.  ``split_facts`` lists the facts
+    that name no document.
     """
     require_columns(facts, ["doc_id", "element_id", "value", "context_id"], "financial fact")
+    facts, _ = split_facts(facts)
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
     texts = [name for name in _STATEMENT_TEXTS if name in facts.columns]
     documents = facts.groupBy("doc_id").agg(
@@ -118,9 +125,10 @@ def ownership_summary(
 
     Facts reduce to one row per (document, context, field) before the fields
     become columns; of several aliases of a field the first row wins.
+    ``split_facts`` lists the facts that name no document.
     """
     require_columns(facts, ["doc_id", "doc_type_code", "element_id", "context_id", "value"], "ownership fact")
-    facts = facts.where(F.col("doc_id").isNotNull())
+    facts, _ = split_facts(facts)
     local, value = local_name(F.col("element_id")), clean(F.col("value"))
     # A context is substantial when one of these fields has a value in it, so whether a
     # document has such a context at all is already visible in its facts.

@@ -15,7 +15,7 @@ from tidemark.plans import adapters
 from tidemark.plans.oracle_views import ROW_ORDER, day, iso
 from tidemark.plans.registry import query, report
 from tidemark.session import ensure_checkpoint_dir
-from tidemark.sources import catalog, datasets, documents, provider, series
+from tidemark.sources import catalog, datasets, documents, packages, provider, series
 
 
 @query(
@@ -122,6 +122,37 @@ def nrm_rejects(spark, sf_dir):
     )
 
 
+@query(
+    "nrm_fact_rejects",
+    """SELECT 'metrics' AS kind, l_orderkey, l_linenumber, 'no doc_id' AS error FROM lineitem WHERE l_partkey % 7 = 0
+       UNION ALL SELECT 'ownership', l_orderkey, l_linenumber, 'no doc_id' FROM lineitem WHERE l_orderkey % 5 = 0
+       UNION ALL SELECT 'package', l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'broken' ELSE 'no list row' END
+       FROM lineitem WHERE l_linenumber = 1 OR l_orderkey % 3 = 0""",
+)
+def nrm_fact_rejects(spark, sf_dir):
+    """Facts that normalisers refuse: those that name no document, and those of packages unreadable or without a list row."""
+    lines = adapters.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    keys = ["l_orderkey", "l_linenumber"]
+    metrics = lines.select(*keys, F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey").cast("string")).alias("doc_id"))
+    reports = lines.select(*keys, F.when(F.col("l_orderkey") % 5 != 0, F.col("l_orderkey").cast("string")).alias("doc_id"))
+    rows = lines.select(
+        *keys,
+        F.format_string("landed/D%d.zip", "l_orderkey").alias("path"),
+        F.when(F.col("l_linenumber") == 1, "broken").alias("error"),
+    )
+    orders = adapters.table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 != 0)
+    listed = orders.select(F.format_string("D%d", "o_orderkey").alias("doc_id"))
+    kinds = {
+        "metrics": normalize.split_facts(metrics)[1],
+        "ownership": normalize.split_facts(reports)[1],
+        "package": packages.package_rejects(rows, listed),
+    }
+    first, *rest = [df.select(F.lit(kind).alias("kind"), *keys, "error") for kind, df in kinds.items()]
+    for df in rest:
+        first = first.union(df)
+    return first
+
+
 @query(
     "src_catalog_json",
     """SELECT 'term' || (c_nationkey)::VARCHAR AS search_term, c_custkey::VARCHAR AS "@id",

@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from tidemark import vocabulary as v
 from tidemark.functions.text import content_hash
 from tidemark.functions.times import known_from_filing, to_utc
+from tidemark.operators.normalize import split_rejects
 from tidemark.operators.quality import require_columns
 
 _ROWS_PER_BATCH = 20_000
@@ -139,13 +140,28 @@ def read_fact_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _split_listed(facts: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readable fact rows joined with their list row, rejected rows of packages without one).
+
+    The file name (without ``.zip``) is the document id.
+    """
+    named = facts.where(F.col("error").isNull()).withColumn("doc_id", F.regexp_extract("path", r"([^/]+)\.zip$", 1))
+    joined = named.join(listed.withColumn("__listed", F.lit(True)), "doc_id", "left")
+    return split_rejects(joined, {"no list row": F.col("__listed").isNull()})
+
+
+def package_rejects(facts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Fact rows that ``package_facts`` refuses, with an ``error``: of unreadable packages and of those without a list row."""
+    _, unlisted = _split_listed(facts, documents.select("doc_id").distinct())
+    return facts.where(F.col("error").isNotNull()).unionByName(unlisted.select(*facts.columns))
+
+
 def package_facts(facts: DataFrame, documents: DataFrame, run_id: str) -> DataFrame:
     """Fact rows with the metadata of their document.
 
-    The file name (without ``.zip``) is the document id.  ``documents`` are
-    selected list rows with ``category`` and ``observed_at``.
+    ``documents`` are selected list rows with ``category`` and ``observed_at``.
+    ``package_rejects`` lists the rows without one.
     """
-    named = facts.where(F.col("error").isNull()).withColumn("doc_id", F.regexp_extract("path", r"([^/]+)\.zip$", 1))
     observed = to_utc(F.col("observed_at"))
     described = documents.select(
         F.lit(v.SOURCE_FILINGS).alias("source_id"),
@@ -168,7 +184,8 @@ def package_facts(facts: DataFrame, documents: DataFrame, run_id: str) -> DataFr
         observed.alias("observed_at"),
         "source_url",
     )
-    return named.join(described, "doc_id").select(
+    valid, _ = _split_listed(facts, described)
+    return valid.select(
         *[c for c in described.columns if c != "source_url"],
         "csv_file_name",
         "row_number",
