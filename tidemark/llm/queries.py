@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, token_store, url_filter
+from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, token_counts, token_store, url_filter
 from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
