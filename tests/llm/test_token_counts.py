@@ -34,8 +34,8 @@ def test_counts_equal_the_library(library):
 
 
 def test_windows_and_forgetting_change_nothing(library):
-    texts = _texts(2, 1500)
-    small = TokenCounter(PATH, window=5, limit=50)
+    texts = _texts(2, 120)
+    small = TokenCounter(PATH, window=50, limit=50)
     small._counts._transducer._limit = 200
     assert small.count(texts).tolist() == library(texts)
     assert small.count(texts).tolist() == library(texts)

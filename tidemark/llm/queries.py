@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, token_counts, token_store, url_filter
+from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, source_audit, token_counts, token_store, url_filter
 from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,51 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+OP11_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), t AS (
+    SELECT row_id, lang, source, unnest(terms) AS term FROM d
+), k AS (
+    SELECT lang, term, count(*) AS lang_count FROM t GROUP BY lang, term HAVING count(DISTINCT row_id) >= 10
+), l AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(lang_count)::HUGEINT AS n FROM k GROUP BY lang
+), g AS (
+    SELECT DISTINCT lang, source FROM d
+), x AS (
+    SELECT lang, source, term, count(*) AS found FROM t GROUP BY lang, source, term
+), c AS (
+    SELECT lang, source, term, coalesce(found, 0)::HUGEINT AS found, lang_count::HUGEINT AS lang_count
+    FROM g JOIN k USING (lang) LEFT JOIN x USING (lang, source, term)
+), p AS (
+    SELECT lang, source, term, found, 1 + (1000000000 * (found + 2)) // (sum(found) OVER (PARTITION BY lang, source) + 2 * v)::HUGEINT AS p,
+           1 + (1000000000 * (lang_count + 2)) // (n + 2 * v) AS q
+    FROM c JOIN l USING (lang)
+), f AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), r AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE found > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r
+) WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_source_audit", OP11_SQL)
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms it overuses."""
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 @query("op13_token_counts")
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
