@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, source_audit, token_counts, token_store, url_filter
+from tidemark.llm import chat_format, conversation_repair, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, source_audit, token_counts, token_store, url_filter
 from tidemark.llm.storage import fold, materialize, prepare, scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,13 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with planted faults, and the cheapest repair of each."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows.select("conv_id"))
+
+
 @query("op13_token_counts")
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
