@@ -7,7 +7,6 @@ from tidemark import vocabulary as v
 from tidemark.operators import changes, monitor, normalize
 from tidemark.plans import adapters
 from tidemark.sources import catalog, documents, packages, provider, series
-from tidemark.streaming import incremental
 
 LISTS = "file_date string, payload string, observed_at string, source_url string"
 RESPONSES = "dataset string, db string, payload string, observed_at string, source_url string, payload_sha256 string"
@@ -88,53 +87,6 @@ def test_codes_are_one_to_one(spark):
     assert [r.p for r in spark.createDataFrame([(7,), (123456,)], "k long").select(adapters.padded("k", 4).alias("p")).collect()] == ["0007", "123456"]
 
 
-RECORDS = "file_date string, seq_number long, doc_id string, record_sha256 string, operation_datetime string, known_at string, observed_at string"
-
-
-def record(day, seq, digest, observed):
-    return (day, seq, f"d{seq}", digest, None, f"2024-01-0{observed}T00:00:00Z", f"2024-01-0{observed}T00:00:00Z")
-
-
-def test_backlog_of_lists_in_one_batch(spark, tmp_path):
-    """Two lists of one date at once give the same changes and state as one after the other."""
-    first = [record("d1", 1, "a", 1), record("d1", 2, "b", 1)]
-    second = [record("d1", 1, "a", 2), record("d1", 2, "c", 2), record("d1", 3, "e", 2)]
-
-    def run(name, batches):
-        source = str(tmp_path / name / "in")
-        for k, rows in enumerate(batches):
-            spark.createDataFrame(rows, RECORDS).coalesce(1).write.parquet(f"{source}/{k}")
-            stream = incremental.incoming_files(spark, f"{source}/*", RECORDS, newest_first=False)
-            q = incremental.start_change_log(stream, str(tmp_path / name / "s"), str(tmp_path / name / "c"), str(tmp_path / name / "p"))
-            q.awaitTermination()
-        log = spark.read.parquet(str(tmp_path / name / "c"))
-        state = spark.read.parquet(str(tmp_path / name / "s"))
-        return (sorted(map(tuple, log.select("seq_number", "record_sha256", "change_type").collect())),
-                sorted(map(tuple, state.select("seq_number", "record_sha256").collect())))
-
-    expected = ([(1, "a", "new"), (2, "b", "new"), (2, "c", "revised"), (3, "e", "new")], [(1, "a"), (2, "c"), (3, "e")])
-    assert run("apart", [first, second]) == expected
-    assert run("together", [first + second]) == expected
-
-
-def test_lost_state_is_an_error(spark, tmp_path):
-    from tidemark.sources.datasets import remove_path
-
-    summary = adapters.forecast_summary(spark, "/root/testdata/sf0.001").limit(200)
-    source, paths = str(tmp_path / "in"), [str(tmp_path / n) for n in ("f", "s", "p")]
-
-    def feed(k):
-        summary.coalesce(1).write.parquet(f"{source}/{k}")
-        incremental.start_forecast_revisions(incremental.incoming_files(spark, f"{source}/*", summary.schema), *paths).awaitTermination()
-
-    for k in range(3):
-        feed(k)
-    assert sorted(p.name for p in (tmp_path / "s").glob("version=*")) == ["version=1", "version=2"]
-    remove_path(spark, f"{paths[1]}/version=2")
-    with pytest.raises(Exception, match="is lost"):
-        feed(3)
-
-
 def test_facts_without_a_document(spark):
     """Facts without a doc_id and packages without a list row are listed; valid and rejected rows are the input."""
     rows = [("a", "x:NetSales", "1"), (None, "x:NetSales", "2"), (None, "x:Other", None), ("b", "x:NetSales", "3")]

@@ -8,10 +8,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import forecast
 from tidemark.sources import catalog, datasets, documents, packages, provider, series
 from tidemark.streaming import incremental
-from test_features import ROWS, disclosed, values_of
 
 STAMP = "2024-05-10T06:00:00Z"
 HEADER = ["要素ID", "項目名", "コンテキストID", "相対年度", "連結・個別", "期間・時点", "ユニットID", "単位", "値"]
@@ -125,29 +123,6 @@ def run(query):
     assert query.exception() is None
 
 
-def test_forecast_stream_equals_batch(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for rows in (ROWS[:2], ROWS[1:4], ROWS):
-        disclosed(spark, rows).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(disclosed(spark, ROWS).schema).parquet(source)
-        run(incremental.start_forecast_revisions(stream, out, str(tmp_path / "state"), str(tmp_path / "cp")))
-    assert values_of(spark.read.parquet(out)) == values_of(forecast.forecast_revisions(disclosed(spark, ROWS)))
-
-
-def test_change_log_stream(spark, tmp_path):
-    schema = "seq_number long, doc_id string, record_sha256 string, operation_datetime string, known_at timestamp, observed_at timestamp, file_date string"
-    seen = datetime(2024, 5, 10)
-    source, log = str(tmp_path / "in"), str(tmp_path / "log")
-    for batch in ([(1, "A", "h", "2024-05-01"), (2, "B", "h", "2024-05-02")], [(1, "A", "h2", "2024-05-01"), (3, "C", "h", "2024-05-01")]):
-        rows = [(s, d, h, None, seen, seen, day) for s, d, h, day in batch]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        run(incremental.start_change_log(stream, str(tmp_path / "snap"), log, str(tmp_path / "cp")))
-    got = sorted((r.batch_id, r.doc_id, r.change_type) for r in spark.read.parquet(log).collect())
-    assert got == [(0, "A", "new"), (0, "B", "new"), (1, "A", "revised"), (1, "C", "new")]
-    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "snap")).collect()) == ["A", "B", "C"]
-
-
 def test_ingest_reads_each_file_once(spark, tmp_path):
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     for i in range(3):

@@ -70,16 +70,18 @@ def filing_changes(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     return changed.withColumn("known_at", known)
 
 
+def series_compared() -> dict[str, Column]:
+    """What makes two observations of a series differ: the value to 12 places and the provider's update day."""
+    return {"value": F.round(number(F.col("value")), _VALUE_PLACES), "source_last_update": F.col("source_last_update").cast("string")}
+
+
 def series_changes(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     """New and revised macro observations, by value (12 places) and provider update day."""
     return _compare(
         current,
         previous,
         SERIES_KEY,
-        {
-            "value": F.round(number(F.col("value")), _VALUE_PLACES),
-            "source_last_update": F.col("source_last_update").cast("string"),
-        },
+        series_compared(),
         [to_utc(F.col("observed_at")).desc_nulls_last(), F.col("value").desc()],
     )
 

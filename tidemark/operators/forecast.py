@@ -40,25 +40,26 @@ def disclosures(summary: DataFrame) -> DataFrame:
     return typed.dropna(subset=[*KEY, "disc_date", "known_at", "observed_at"])
 
 
-def _previous(name: str) -> str:
-    return f"__previous_{name}"
+PREVIOUS = {m: f"__previous_{m}" for m in METRICS}
 
 
 def _with_previous(rows: DataFrame, order: list[Column], bucket: Column) -> DataFrame:
     """Add the last explicit forecast of each metric and whether any disclosure came before."""
-    earlier = {_previous(m): F.col(m) for m in METRICS}
+    earlier = {PREVIOUS[m]: F.col(m) for m in METRICS}
     return last_before(rows, KEY, order, bucket, {**earlier, "__seen": F.lit(True)})
 
 
-def _emit(rows: DataFrame) -> DataFrame:
+def emit_revisions(rows: DataFrame) -> DataFrame:
+    """Features of disclosures that carry the forecasts before them (``PREVIOUS``, ``__seen``)."""
+
     def both(m):
-        return F.col(m).isNotNull() & F.col(_previous(m)).isNotNull()
+        return F.col(m).isNotNull() & F.col(PREVIOUS[m]).isNotNull()
 
     def revision(m):
-        base = F.col(_previous(m))
+        base = F.col(PREVIOUS[m])
         return F.try_divide(F.col(m) - base, F.abs(base))
 
-    signs = [F.when(both(m), F.signum(F.col(m) - F.col(_previous(m)))).otherwise(0.0) for m in METRICS]
+    signs = [F.when(both(m), F.signum(F.col(m) - F.col(PREVIOUS[m]))).otherwise(0.0) for m in METRICS]
     compared = [F.when(both(m), 1).otherwise(0) for m in METRICS]
     values = {name: revision(m) for m, name in v.FORECAST_FEATURES.items()}
     values[v.BREADTH_FEATURE] = F.try_divide(reduce(add, signs), reduce(add, compared))
@@ -78,7 +79,7 @@ def _emit(rows: DataFrame) -> DataFrame:
 def forecast_revisions(summary: DataFrame) -> DataFrame:
     """Revision of each metric against its last explicit forecast, and their mean sign."""
     order = [F.col(c).asc() for c in _ORDER]
-    return _emit(_with_previous(disclosures(summary), order, calendar_bucket(F.col("known_at"))))
+    return emit_revisions(_with_previous(disclosures(summary), order, calendar_bucket(F.col("known_at"))))
 
 
 def advancing(rows: DataFrame, state: DataFrame | None) -> DataFrame:
@@ -114,7 +115,7 @@ def forecast_revisions_with_state(
         rows = rows.unionByName(carried)
     order = [F.col("__carried").desc(), F.col("known_at").asc_nulls_first()]
     bucket = F.when(F.col("__carried"), F.lit(-(1 << 31))).otherwise(calendar_bucket(F.col("known_at")))
-    features = _emit(_with_previous(rows, order, bucket).where(~F.col("__carried")))
+    features = emit_revisions(_with_previous(rows, order, bucket).where(~F.col("__carried")))
 
     position = F.struct((~F.col("__carried")).alias("fresh"), F.col("known_at"))
     latest = [F.max_by(m, F.when(F.col(m).isNotNull(), position)).alias(m) for m in METRICS]

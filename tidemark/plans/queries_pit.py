@@ -195,7 +195,7 @@ def pit_known_filing(spark, sf_dir):
     return report(documents.select("doc_id", known.alias("known_at")))
 
 
-def _hashed(documents, cents):
+def hashed(documents, cents):
     return documents.withColumn("record_sha256", F.sha2(F.concat_ws("|", "doc_id", cents.cast("string")), 256))
 
 
@@ -213,7 +213,7 @@ def pit_changes_hash(spark, sf_dir):
     documents = adapters.document_list(spark, sf_dir)
     earlier = documents.where(F.col("doc_type_code") != "120")
     revised = F.when(F.col("doc_type_code") == "350", F.col("cents") + 1).otherwise(F.col("cents"))
-    changed = changes.filing_changes(_hashed(documents, F.col("cents")), _hashed(earlier, revised))
+    changed = changes.filing_changes(hashed(documents, F.col("cents")), hashed(earlier, revised))
     return report(changed.select("doc_id", "seq_number", "change_type", "known_at"))
 
 
@@ -342,7 +342,7 @@ def ftr_revision_breadth(spark, sf_dir):
 
 
 _HALF = "2000-01-01"
-_ADVANCING = """(SELECT * EXCLUDE (rn) FROM (
+ADVANCING = """(SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker, fy, known_at
               ORDER BY observed_at, disc_no, disc_date, f1, f2, f3, f4, f5) AS rn
   FROM v_forecast) z WHERE rn = 1) adv"""
@@ -350,8 +350,8 @@ _ADVANCING = """(SELECT * EXCLUDE (rn) FROM (
 
 @query(
     "str_revision_batch",
-    f"""SELECT * FROM ({revision_pct(_ADVANCING)}
-        UNION ALL {revision_breadth(_ADVANCING)}) r WHERE date >= '{_HALF}'""",
+    f"""SELECT * FROM ({revision_pct(ADVANCING)}
+        UNION ALL {revision_breadth(ADVANCING)}) r WHERE date >= '{_HALF}'""",
 )
 def str_revision_batch(spark, sf_dir):
     """Two incremental runs; the second sees the first half again and must skip it."""

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Above this size the JVM would interpret a generated method instead of compiling it.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state lives on disk and in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -26,6 +31,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application; jobs with Python tasks need it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / f"{root.name}.zip"  # the driver serves it
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "tidemark", **settings: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (
@@ -55,3 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         target = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
     context.setCheckpointDir(target)
     return target
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

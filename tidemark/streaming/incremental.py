@@ -1,9 +1,7 @@
-"""Incremental jobs as Structured Streaming queries.
+"""Files as streams, and the file sink.
 
-Each one hands its micro-batches to the batch operators, so a stream and a
-batch over the same rows agree, and a replayed batch repeats the same files.
-Streams start with ``availableNow`` by default: they work off what is there
-and stop.
+Streams start with ``availableNow``: they work off what is there and stop.  Jobs with state take the oldest files first;
+``revisions`` and ``change_log`` hold them.
 """
 
 from __future__ import annotations
@@ -11,24 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.changes import filing_changes
-from tidemark.operators.forecast import forecast_revisions_with_state
-from tidemark.sources.datasets import path_exists, remove_path, write_dataset
-
-
-def _finished(spark: SparkSession, path: str) -> bool:
-    """Whether a whole-folder write has committed."""
-    return path_exists(spark, f"{path}/_SUCCESS")
-
 
 def incoming_files(
-    spark: SparkSession, path: str, schema: StructType | str, *, files_per_batch: int = 150, newest_first: bool = True
+    spark: SparkSession, path: str, schema: StructType | str, *, files_per_batch: int = 150, newest_first: bool = False
 ) -> DataFrame:
-    """Parquet files as a stream: each file once, newest first, a budget of files per batch."""
+    """Parquet files as a stream: each file once, oldest first, a budget of files per batch.
+
+    ``newest_first`` is for jobs without state, where fresh files must not wait behind a backlog.
+    """
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -49,67 +40,3 @@ def start_ingest(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def start_change_log(stream: DataFrame, snapshot: str, changes: str, checkpoint: str) -> StreamingQuery:
-    """Compare each micro-batch of document lists with the stored snapshot.
-
-    A batch holds complete lists for its file dates, one or more of each.  Changes go to their own
-    ``batch_id`` folder, then the snapshot of those dates is replaced.  When a
-    batch is replayed after its changes were written, the comparison is skipped,
-    because the snapshot may already hold the new rows.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            log = f"{changes}/batch_id={batch_id}"
-            if not _finished(spark, log):
-                previous = None
-                if path_exists(spark, snapshot):
-                    stored = spark.read.schema(batch.schema).parquet(snapshot)
-                    previous = stored.join(batch.select("file_date").distinct(), "file_date", "left_semi")
-                write_dataset(filing_changes(batch, previous), log)
-            # A backlog may hold several lists of a date; the last one is the state.
-            last = batch.groupBy("file_date").agg(F.max("observed_at").alias("observed_at"))
-            write_dataset(batch.join(last, ["file_date", "observed_at"], "left_semi"), snapshot, ["file_date"])
-        finally:
-            batch.unpersist()
-
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def start_forecast_revisions(stream: DataFrame, features: str, state: str, checkpoint: str) -> StreamingQuery:
-    """Revision features of each micro-batch against the state left by the one before.
-
-    State versions are written per batch and never changed, so a replayed batch
-    reads the version before it and rewrites its own outputs.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = f"{state}/version={batch_id - 1}"
-        if batch_id > 0 and not _finished(spark, before):
-            raise RuntimeError(f"the state before batch {batch_id} is lost: {before}")
-        known = spark.read.parquet(before) if batch_id > 0 else None
-        batch.persist()
-        try:
-            emitted, updated = forecast_revisions_with_state(batch, known)
-            write_dataset(emitted, f"{features}/batch_id={batch_id}")
-            write_dataset(updated, f"{state}/version={batch_id}")
-            remove_path(spark, f"{state}/version={batch_id - 2}")  # a replay needs the version before only
-        finally:
-            batch.unpersist()
-
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
