@@ -56,18 +56,26 @@ def candidates(
     return fresh.orderBy(*_work_order()).limit(limit)
 
 
-def pending_sources(
-    sources: DataFrame, index: DataFrame, *, alias_version: int, alias_sha256: str, limit: int
-) -> DataFrame:
-    """The newest ``limit`` source files whose index entry is missing, failed or outdated.
-
-    ``sources`` has ``source_key, source_etag, source_size``; a source without
-    an etag is always worked again.
-    """
+def outdated_sources(sources: DataFrame, index: DataFrame, *, alias_version: int, alias_sha256: str) -> DataFrame:
+    """Source files whose index entry is missing, failed or outdated; one without an etag always is."""
     current = index.where(
         F.col("status").isin(*_DONE)
         & (F.col("alias_config_version") == F.lit(alias_version))
         & (F.col("alias_config_sha256") == F.lit(alias_sha256))
     ).select("source_key", "source_etag", "source_size")
-    outdated = sources.join(current, ["source_key", "source_etag", "source_size"], "left_anti")
-    return outdated.orderBy(F.col("source_key").desc()).limit(limit)
+    return sources.join(current, ["source_key", "source_etag", "source_size"], "left_anti")
+
+
+def work_newest(sources: DataFrame, limit: int | None) -> DataFrame:
+    """The newest ``limit`` sources by key, so that fresh ones do not wait behind a backlog; all without a limit."""
+    return sources if limit is None else sources.orderBy(F.col("source_key").desc()).limit(limit)
+
+
+def pending_sources(
+    sources: DataFrame, index: DataFrame, *, alias_version: int, alias_sha256: str, limit: int
+) -> DataFrame:
+    """The newest ``limit`` source files that have to be worked, newest first.
+
+    ``sources`` has ``source_key, source_etag, source_size``.
+    """
+    return work_newest(outdated_sources(sources, index, alias_version=alias_version, alias_sha256=alias_sha256), limit)

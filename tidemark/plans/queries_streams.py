@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark import vocabulary as v
+from tidemark.operators import normalize
 from tidemark.operators.forecast import METRICS
 from tidemark.plans import adapters
-from tidemark.plans.oracle_views import iso
+from tidemark.plans.oracle_views import ROW_ORDER, iso
 from tidemark.plans.queries_pit import ADVANCING, hashed
 from tidemark.plans.registry import query, report
 from tidemark.session import scratch_path
+from tidemark.sources import ledger
 from tidemark.sources.datasets import write_dataset
 from tidemark.streaming import change_log, incremental, revisions
 
@@ -80,3 +83,60 @@ def str_changes(spark, sf_dir):
         write_dataset(arrived, landed, mode="append")
         _worked_off(change_log.start_change_log(incremental.incoming_files(spark, landed, first.schema), log, checkpoint))
     return report(log.changes().select("file_date", "seq_number", "doc_id", "change_type", "known_at", "observed_at"))
+
+
+_BUDGET = 1000
+
+
+@query(
+    "nrm_index",
+    f"""SELECT d.source_key, CASE WHEN m.rows IS NULL THEN 'no_matches' ELSE 'ok' END AS status, coalesce(m.rows, 0) AS rows,
+        coalesce(m.metrics, '') AS metrics, m.submit_date, d.size + CASE WHEN part % 10 = 0 THEN 1 ELSE 0 END AS source_size,
+        CASE WHEN part % 10 = 0 THEN '000000000005.changed' WHEN newest <= {_BUDGET} THEN '000000000001.first'
+             ELSE '000000000003.again' END AS run
+        FROM (SELECT *, 'facts/' || doc_id || '.parquet' AS source_key, row_number() OVER (ORDER BY doc_id DESC) AS newest
+              FROM (SELECT doc_id, substr(doc_id, 2)::BIGINT AS part, count(*) AS size FROM v_facts GROUP BY 1, 2) s) d
+        LEFT JOIN (SELECT f.doc_id, count(*) AS rows, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metrics,
+                          first(coalesce(substr(g.submit_datetime, 1, 10), 'unknown')) AS submit_date
+                   FROM v_facts f JOIN v_aliases USING (local_name)
+                   JOIN (SELECT doc_id, first(submit_datetime ORDER BY {ROW_ORDER}) FILTER (WHERE submit_datetime IS NOT NULL)
+                                AS submit_datetime FROM v_facts GROUP BY 1) g ON f.doc_id = g.doc_id
+                   GROUP BY 1) m USING (doc_id)""",
+)
+def nrm_index(spark, sf_dir):
+    """Index and visible rows after five runs: within a budget, lost before its manifests, without a budget, with nothing
+    to do, and over sources of which a tenth has changed."""
+    facts = adapters.statement_facts(spark, sf_dir)
+    key = F.concat(F.lit("facts/"), F.col("doc_id"), F.lit(".parquet"))
+    facts = facts.withColumn("source_key", key)
+    sources = facts.groupBy("source_key").agg(F.count(F.lit(1)).alias("source_size")).withColumn("source_etag", F.lit("v1"))
+
+    def process(work):
+        metrics = normalize.financial_metrics(
+            facts.join(work, "source_key", "left_semi"), "run", source_key=F.col("source_key"), row_order=adapters.FACT_ROW_ORDER
+        )
+        day = ledger.submit_date(F.col("submit_datetime"), F.col("known_at"))
+        rows = metrics.withColumns({"source_key": F.col("source_parquet_key"), "submit_date": day})
+        return rows.select("source_key", "doc_id", "metric", "numeric_value", "submit_date"), spark.createDataFrame([], "source_key string, error string")
+
+    def lost(work):
+        raise RuntimeError("lost")
+
+    schema = process(sources)[0].schema
+    runs = ledger.Ledger(spark, scratch_path(spark, "ledger"), schema, v.METRIC_ALIAS_VERSION, "aliases")
+    runs.run(sources, process, "first", _BUDGET)
+    try:
+        runs.run(sources, lost, "lost", _BUDGET)
+    except RuntimeError:
+        pass
+    runs.run(sources, process, "again")
+    runs.run(sources, process, "idle")
+    changed = F.regexp_extract("source_key", r"S(\d+)\.", 1).cast("long") % 10 == 0
+    runs.run(sources.withColumn("source_size", F.col("source_size") + F.when(changed, 1).otherwise(0)), process, "changed")
+    visible = runs.rows().groupBy("source_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.concat_ws(",", F.sort_array(F.collect_set("metric"))).alias("metrics"), F.min("submit_date").alias("submit_date")
+    )
+    return runs.index().join(visible, "source_key", "left").select(
+        "source_key", "status", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.coalesce("metrics", F.lit("")).alias("metrics"),
+        "submit_date", "source_size", "run",
+    )

@@ -24,6 +24,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def finished_folders(spark: SparkSession, path: str, started: bool = False) -> list[str]:
+    """Names of the folders below a path whose write has committed; with ``started``, of all of them."""
+    if not path_exists(spark, path):
+        return []
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(target) if f.isDirectory()]
+    return [n for n in names if started or path_exists(spark, f"{path}/{n}/_SUCCESS")]
+
+
 def read_dataset(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """A partitioned dataset; partition columns come from the paths.
 
