@@ -130,3 +130,69 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
         stream = incremental.incoming_files(spark, source, "doc_id string, x int", files_per_batch=1)
         run(incremental.start_ingest(stream, lambda df: df.withColumn("y", F.col("x") * 2), out, cp))
     assert sorted((r.doc_id, r.y) for r in spark.read.parquet(out).collect()) == [("D0", 0), ("D1", 2), ("D2", 4)]
+
+
+def _zipped(members, method=zipfile.ZIP_DEFLATED):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as archive:
+        for name, raw in members:
+            archive.writestr(name, raw)
+    return out.getvalue()
+
+
+def _unpacked(spark, packages_):
+    rows = [(f"in/{name}.zip", "h", content) for name, content in packages_.items()]
+    found = packages.unpack_files(spark.createDataFrame(rows, "path string, package_sha256 string, content binary").repartition(2))
+    good, bad = {}, {}
+    for r in found.collect():
+        if r.error is not None:
+            bad[r.path[3:-4]] = r.error
+        else:
+            good.setdefault((r.path[3:-4], r.csv_file_name), []).append((r.row_number, r.element_id, r.context_id, r.value, r.item_name))
+    return {k: sorted(x) for k, x in good.items()}, bad
+
+
+def test_tables_of_all_shapes(spark):
+    """Quotes, line breaks inside values, short and blank rows, every encoding, stored and deflated members."""
+    table = "要素ID\tコンテキストID\t値\t項目名\r\n\"a:b\"\tc\t\"1\t2\n3\"\t\"say \"\"x\"\"\"\r\n\r\nd\te\t\t\r\n"
+    ragged = table + "short\tx\r\nlast\ty\t9\tn\r\n"
+    full = [(0, "a:b", "c", "1\t2\n3", 'say "x"'), (1, "d", "e", "", "")]
+    good, bad = _unpacked(spark, {
+        "A": _zipped([("XBRL_TO_CSV/le.csv", table.encode("utf-16")), ("xbrl_to_csv/be.csv", "﻿".encode("utf-16-be") + table.encode("utf-16-be")),
+                      ("XBRL_TO_CSV/bare.csv", table.encode("utf-16-le")), ("XBRL_TO_CSV/ragged.csv", ragged.encode("utf-16"))]),
+        "B": _zipped([("XBRL_TO_CSV/a.csv", table.encode("utf-16")), ("notes.txt", b"x")], zipfile.ZIP_STORED),
+    })
+    assert bad == {} and {k: rows for k, rows in good.items() if "ragged" not in k[1]} == {
+        ("A", "XBRL_TO_CSV/le.csv"): full, ("A", "xbrl_to_csv/be.csv"): full, ("A", "XBRL_TO_CSV/bare.csv"): full, ("B", "XBRL_TO_CSV/a.csv"): full}
+    assert good["A", "XBRL_TO_CSV/ragged.csv"] == [*full, (2, "short", "x", None, None), (3, "last", "y", "9", "n")]
+
+
+def test_large_table_over_many_blocks(spark):
+    lines = [f"e{i}\tc{i}\t{'v' * (i % 90)}" for i in range(40_000)]
+    late = lines + ["only\tx"] + [f"l{i}\tc\t1" for i in range(5)]
+    head = "Element ID\tContext ID\tValue\n"
+    good, bad = _unpacked(spark, {"A": _zipped([
+        ("XBRL_TO_CSV/a.csv", (head + "\n".join(lines)).encode("utf-16")), ("XBRL_TO_CSV/b.csv", (head + "\n".join(late)).encode("utf-16")),
+        ("XBRL_TO_CSV/c.csv", (head + "e\tc\t" + "w" * 3_000_000).encode("utf-16"))])})
+    assert bad == {}
+    expected = [(i, f"e{i}", f"c{i}", "v" * (i % 90), "") for i in range(40_000)]
+    assert good["A", "XBRL_TO_CSV/a.csv"] == expected
+    assert good["A", "XBRL_TO_CSV/b.csv"] == expected + [(40_000, "only", "x", None, "")] + [(40_001 + i, f"l{i}", "c", "1", "") for i in range(5)]
+    assert len(good["A", "XBRL_TO_CSV/c.csv"][0][3]) == 3_000_000
+
+
+def test_a_failed_table_takes_its_package(spark):
+    fine = "Element ID\tContext ID\tValue\ne\tc\t1\n".encode("utf-16")
+    whole = _zipped([("XBRL_TO_CSV/a.csv", fine), ("XBRL_TO_CSV/b.csv", fine * 50)])
+    damaged = bytearray(whole)
+    damaged[60] ^= 0xFF
+    good, bad = _unpacked(spark, {
+        "long": _zipped([("XBRL_TO_CSV/a.csv", fine), ("XBRL_TO_CSV/b.csv", "Element ID\tContext ID\tValue\ne\tc\t1\t2\n".encode("utf-16"))]),
+        "odd": _zipped([("XBRL_TO_CSV/a.csv", fine + b"x"), ("XBRL_TO_CSV/b.csv", fine)]),
+        "lacks": _zipped([("XBRL_TO_CSV/a.csv", fine), ("XBRL_TO_CSV/b.csv", "Element ID\tValue\n".encode("utf-16"))]),
+        "empty": _zipped([("XBRL_TO_CSV/a.csv", b"")]), "none": _zipped([("x.csv", fine)]), "cut": whole[:100], "damaged": bytes(damaged),
+        "fine": _zipped([("XBRL_TO_CSV/a.csv", fine)]),
+    })
+    assert set(good) == {("fine", "XBRL_TO_CSV/a.csv")}
+    assert set(bad) == {"long", "odd", "lacks", "empty", "none", "cut", "damaged"}
+    assert "longer" in bad["long"] and "UTF-16" in bad["odd"] and "context_id" in bad["lacks"] and "no fact table" in bad["none"]

@@ -6,12 +6,18 @@ list and disclosure adapters carry ISO text, as providers deliver it.
 
 from __future__ import annotations
 
+import codecs
+import io
+import itertools
+import zipfile
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
+from tidemark.session import ship_package
 
 LAG_DAYS = 84
 
@@ -272,3 +278,37 @@ def listing_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         at_six("last_ship").alias("known_at"),
         at_six(later("last_ship", LAG_DAYS)).alias("observed_at"),
     )
+
+
+_TABLE_HEADERS = {1: "Element ID\tContext ID\tValue\tItem Name", 2: "要素ID\tコンテキストID\t値"}
+_CODECS = ("utf-16", "utf-16-le", "utf-16-be")
+
+
+def _package(lines: pa.Table) -> pa.Table:
+    """One ZIP of a supplier's lines: a table per line number, in several encodings; every fifth supplier's is unusable."""
+    supplier, out = lines.column("l_suppkey")[0].as_py(), io.BytesIO()
+    rows = sorted(zip(*(lines.column(n).to_pylist() for n in ("l_linenumber", "l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag"))))
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("PublicDoc/readme.txt", b"no table")
+        for number, group in itertools.groupby(rows, key=lambda r: r[0]):
+            named = number % 2 == 1
+            header = _TABLE_HEADERS[1 if named else 2]
+            text = [header.replace("Value", "Amount") if supplier % 10 == 3 and number == 5 else header]
+            for _, order, part, price, flag in group:
+                text.append(f'jp:{order}\t"{flag}\tx"\t{price:.2f}' + (f'\t"part ""{part}""\n"' if named else ""))
+            codec = _CODECS[number % 3]
+            mark = b"" if codec != "utf-16-be" else codecs.BOM_UTF16_BE
+            archive.writestr(f"XBRL_TO_CSV/line{number}.csv", mark + "\r\n".join(text).encode(codec))
+    content = out.getvalue()
+    if supplier % 10 == 7:
+        content = content[: len(content) // 2]
+    return pa.table({"path": [f"landed/S{supplier}.zip"], "content": pa.array([content], pa.binary())})
+
+
+def fact_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing packages as landed, one per supplier: ``path, content``."""
+    ship_package(spark)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", F.col("l_extendedprice").cast("double").alias("l_extendedprice"), "l_returnflag"
+    )
+    return lines.groupBy("l_suppkey").applyInArrow(_package, "path string, content binary")

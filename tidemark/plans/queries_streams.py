@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
+from tidemark.functions.text import content_hash
 from tidemark.operators import normalize
 from tidemark.operators.forecast import METRICS
 from tidemark.plans import adapters
@@ -12,7 +13,7 @@ from tidemark.plans.oracle_views import ROW_ORDER, iso
 from tidemark.plans.queries_pit import ADVANCING, hashed
 from tidemark.plans.registry import query, report
 from tidemark.session import scratch_path
-from tidemark.sources import ledger
+from tidemark.sources import ledger, packages
 from tidemark.sources.datasets import write_dataset
 from tidemark.streaming import change_log, incremental, revisions
 
@@ -140,3 +141,27 @@ def nrm_index(spark, sf_dir):
         "source_key", "status", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.coalesce("metrics", F.lit("")).alias("metrics"),
         "submit_date", "source_size", "run",
     )
+
+
+@query(
+    "src_packages",
+    """SELECT 'landed/S' || l_suppkey || '.zip' AS path, 'XBRL_TO_CSV/line' || l_linenumber || '.csv' AS csv_file_name,
+       row_number() OVER (PARTITION BY l_suppkey, l_linenumber
+           ORDER BY l_orderkey, l_partkey, l_extendedprice, l_returnflag) - 1 AS row_number,
+       'jp:' || l_orderkey AS element_id, l_returnflag || chr(9) || 'x' AS context_id, printf('%.2f', l_extendedprice) AS value,
+       CASE WHEN l_linenumber % 2 = 1 THEN 'part "' || l_partkey || '"' || chr(10) ELSE '' END AS item_name, NULL AS error
+       FROM lineitem WHERE l_suppkey % 10 <> 7
+         AND l_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey % 10 = 3 AND l_linenumber = 5)
+       UNION ALL
+       SELECT DISTINCT 'landed/S' || l_suppkey || '.zip',
+              CASE WHEN l_suppkey % 10 = 3 THEN 'XBRL_TO_CSV/line5.csv' END, NULL::BIGINT, NULL, NULL, NULL, NULL,
+              CASE WHEN l_suppkey % 10 = 3 THEN 'fact table lacks columns [''value'']' ELSE 'File is not a zip file' END
+       FROM lineitem WHERE l_suppkey % 10 = 7 OR (l_suppkey % 10 = 3 AND l_linenumber = 5)""",
+)
+def src_packages(spark, sf_dir):
+    """Rows of ZIP packages with tables in three encodings; a tenth of the packages is cut, in another a table lacks a column."""
+    landed = scratch_path(spark, "landed")
+    write_dataset(adapters.fact_packages(spark, sf_dir), landed)
+    files = spark.read.schema("path string, content binary").parquet(landed)
+    rows = packages.unpack_files(files.withColumn("package_sha256", content_hash(F.col("content"))))
+    return rows.select("path", "csv_file_name", "row_number", "element_id", "context_id", "value", "item_name", "error")

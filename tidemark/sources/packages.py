@@ -1,20 +1,25 @@
 """Filing packages: ZIP files with tab-separated UTF-16 fact tables.
 
-Spark lists and distributes the files and does all joins, hashes and stamps.
-Only unzipping and decoding run in Python, per file, in row batches.
+A package is taken apart in two steps.  The first reads central directories only and gives one row per fact table, still
+compressed; these rows are dealt out by size, so a package with many or large tables is no single task.  The second inflates,
+decodes and parses each table as a stream.  Spark does all joins, hashes and stamps.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import hashlib
 import io
 import itertools
 import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -24,9 +29,17 @@ from tidemark.functions.text import content_hash
 from tidemark.functions.times import known_from_filing, to_utc
 from tidemark.operators.normalize import split_rejects
 from tidemark.operators.quality import require_columns
+from tidemark.session import scratch_path, ship_package
+from tidemark.sources.datasets import write_dataset
 
 _ROWS_PER_BATCH = 20_000
+_CHUNK = 1 << 20
 _ENCODINGS = ("utf-16", "utf-16-le", "utf-16-be")
+_MEMBER = pa.schema(
+    [("path", pa.string()), ("package_sha256", pa.string()), ("csv_file_name", pa.string()), ("method", pa.int32()),
+     ("crc", pa.int64()), ("packed", pa.binary()), ("error", pa.string())]
+)
+_MEMBER_SCHEMA = from_arrow_schema(_MEMBER)
 _LINEAGE = {
     "path": pa.string(),
     "package_sha256": pa.string(),
@@ -45,71 +58,199 @@ def is_fact_member(name: str) -> bool:
     return parts[-1].endswith(".csv") and any(v.PACKAGE_FACT_FOLDER in part for part in parts)
 
 
-def decode_table(raw: bytes) -> str:
-    for encoding in _ENCODINGS:
+def _packed_member(content: bytes, info: zipfile.ZipInfo) -> bytes:
+    """Compressed bytes of a member, found by its local header."""
+    if info.flag_bits & 1:
+        raise ValueError(f"{info.filename} is encrypted")
+    if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        raise ValueError(f"{info.filename} is compressed by method {info.compress_type}")
+    # Fixed 30 bytes; the lengths of name and extra field stand at 26 and 28.
+    name, extra = struct.unpack_from("<HH", content, info.header_offset + 26)
+    start = info.header_offset + 30 + name + extra
+    if start + info.compress_size > len(content):
+        raise ValueError(f"{info.filename} is cut off")
+    return content[start : start + info.compress_size]
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for files in batches:
+        for path, sha256, content in zip(*(files.column(n) for n in ("path", "package_sha256", "content"))):
+            lineage, raw = {"path": path.as_py(), "package_sha256": sha256.as_py()}, content.as_py()
+            try:
+                with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+                    found = [info for info in archive.infolist() if is_fact_member(info.filename)]
+                if not found:
+                    raise ValueError("package holds no fact table")
+                for info in found:
+                    row = {**lineage, "csv_file_name": info.filename, "method": info.compress_type, "crc": info.CRC,
+                           "packed": _packed_member(raw, info)}
+                    yield pa.RecordBatch.from_pylist([row], schema=_MEMBER)
+            except (ValueError, zipfile.BadZipFile, struct.error, NotImplementedError) as problem:
+                yield pa.RecordBatch.from_pylist([{**lineage, "error": str(problem)}], schema=_MEMBER)
+
+
+def _inflate(packed: bytes, method: int) -> Iterator[bytes]:
+    if method == zipfile.ZIP_STORED:
+        yield from (packed[i : i + _CHUNK] for i in range(0, len(packed), _CHUNK))
+        return
+    stream = zlib.decompressobj(-zlib.MAX_WBITS)
+    rest = packed
+    while rest or not stream.eof:
+        chunk = stream.decompress(rest, _CHUNK)
+        rest = stream.unconsumed_tail
+        if chunk:
+            yield chunk
+        elif not rest:
+            break
+    if not stream.eof:
+        raise ValueError("fact table is cut off")
+
+
+def _inspect(packed: bytes, method: int, crc: int) -> tuple[str, str]:
+    """(digest, encoding) of a table, after reading it once; it has to be whole and UTF-16."""
+    digest, check = hashlib.sha256(), 0
+    decoders = {name: codecs.getincrementaldecoder(name)() for name in _ENCODINGS}
+    for chunk in _inflate(packed, method):
+        digest.update(chunk)
+        check = zlib.crc32(chunk, check)
+        _feed(decoders, chunk, False)
+    _feed(decoders, b"", True)
+    if check != crc:
+        raise ValueError("fact table is damaged")
+    if not decoders:
+        raise ValueError("fact table is not UTF-16")
+    return digest.hexdigest(), next(iter(decoders))
+
+
+def _feed(decoders: dict, chunk: bytes, last: bool) -> None:
+    """Decode with the first encoding that is still possible, and with the others as long as it is not the first."""
+    for name in list(decoders):
         try:
-            return raw.decode(encoding)
+            decoders[name].decode(chunk, last)
         except UnicodeError:
-            continue
-    raise ValueError("fact table is not UTF-16")
+            del decoders[name]
 
 
-def member_rows(raw: bytes) -> Iterator[dict]:
-    """Rows of one fact table by canonical column; absent optional columns are empty text."""
-    reader = csv.reader(io.StringIO(decode_table(raw), newline=""), delimiter="\t")
-    header = [v.FACT_HEADERS.get(cell.strip().lstrip("\ufeff")) for cell in next(reader, [])]
-    missing = [c for c in v.REQUIRED_FACT_COLUMNS if c not in header]
-    if missing:
-        raise ValueError(f"fact table lacks columns {missing}")
-    for cells in reader:
-        if not cells:
-            continue
-        if len(cells) > len(header):
-            raise ValueError("fact row is longer than the header")
-        row = dict.fromkeys(v.FACT_COLUMNS, "")
-        row.update({name: None for name in header if name})
-        row.update({name: cell for name, cell in zip(header, cells) if name})
-        yield row
-
+class _Text(io.RawIOBase):
+    """A table re-encoded to UTF-8, read as a stream."""
 
-def check_package(archive: zipfile.ZipFile) -> list[str]:
-    """Names of the fact tables after reading every row once; raises if any is unusable."""
-    members = [name for name in archive.namelist() if is_fact_member(name)]
-    if not members:
-        raise ValueError("package holds no fact table")
-    for name in members:
-        for _ in member_rows(archive.read(name)):
-            pass
-    return members
+    def __init__(self, packed: bytes, method: int, encoding: str) -> None:
+        super().__init__()
+        decoder = codecs.getincrementaldecoder(encoding)()
+        chunks = itertools.chain(((c, False) for c in _inflate(packed, method)), [(b"", True)])
+        self._parts = (decoder.decode(chunk, last).encode() for chunk, last in chunks)
+        self._kept = b""
 
+    def readable(self) -> bool:
+        return True
 
-def _package_rows(archive: zipfile.ZipFile, members: list[str]) -> Iterator[dict]:
-    for name in members:
-        raw = archive.read(name)
-        digest = hashlib.sha256(raw).hexdigest()
-        for number, row in enumerate(member_rows(raw)):
-            yield {"csv_file_name": name, "csv_sha256": digest, "row_number": number, "error": None, **row}
+    def readinto(self, target) -> int:
+        while not self._kept:
+            part = next(self._parts, None)
+            if part is None:
+                return 0
+            self._kept = part
+        size = min(len(target), len(self._kept))
+        target[:size], self._kept = self._kept[:size], self._kept[size:]
+        return size
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for files in batches:
-        for file in files.to_pylist():
-            lineage = {"path": file["path"], "package_sha256": file["package_sha256"]}
+def _columns(header: list[str]) -> dict[str, int]:
+    """Position of every canonical column in a header; of several names for one column the last counts."""
+    found = [v.FACT_HEADERS.get(cell.strip().lstrip("\ufeff").strip()) for cell in header]
+    missing = [c for c in v.REQUIRED_FACT_COLUMNS if c not in found]
+    if missing:
+        raise ValueError(f"fact table lacks columns {missing}")
+    return {name: i for i, name in enumerate(found) if name}
+
+
+def _by_reader(text: io.RawIOBase, skip: int) -> Iterator[dict[str, pa.Array]]:
+    """Columns of a table whose rows differ in length: short rows lack values, longer ones than the header are refused."""
+    csv.field_size_limit(2**31 - 1)
+    reader = csv.reader(io.TextIOWrapper(io.BufferedReader(text), encoding="utf-8", newline=""), delimiter="\t")
+    header = next(reader, [])
+    places = _columns(header)
+    rows = itertools.islice((cells for cells in reader if cells), skip, None)
+    while batch := list(itertools.islice(rows, _ROWS_PER_BATCH)):
+        if any(len(cells) > len(header) for cells in batch):
+            raise ValueError("fact row is longer than the header")
+        yield {name: pa.array([cells[i] if i < len(cells) else None for cells in batch], pa.string()) for name, i in places.items()}
+
+
+def _by_arrow(text: io.RawIOBase) -> Iterator[dict[str, pa.Array]]:
+    """Columns of a table whose rows all have the header's length."""
+    options = {
+        "read_options": pa.csv.ReadOptions(use_threads=False, autogenerate_column_names=True, block_size=_CHUNK),
+        "parse_options": pa.csv.ParseOptions(delimiter="\t", newlines_in_values=True),
+        "convert_options": pa.csv.ConvertOptions(column_types={f"f{i}": pa.string() for i in range(1000)}, strings_can_be_null=False),
+    }
+    places: dict[str, int] | None = None
+    with pa.csv.open_csv(io.BufferedReader(text), **options) as reader:
+        for batch in reader:
+            if places is None and batch.num_rows:
+                places = _columns([column[0].as_py() for column in batch.columns])
+                batch = batch.slice(1)
+            if batch.num_rows:
+                yield {name: batch.column(i) for name, i in places.items()}
+    if places is None:
+        _columns([])
+
+
+def table_columns(packed: bytes, method: int, encoding: str) -> Iterator[dict[str, pa.Array]]:
+    """Batches of a table's columns; optional columns that it lacks are left out."""
+    done = 0
+    try:
+        for columns in _by_arrow(_Text(packed, method, encoding)):
+            yield columns
+            done += len(next(iter(columns.values())))
+    except pa.ArrowInvalid:  # rows of several lengths: go on by the slower reader where this one stopped
+        yield from _by_reader(_Text(packed, method, encoding), done)
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for members in batches:
+        for i in range(members.num_rows):
+            member = {n: members.column(n)[i].as_py() for n in _MEMBER.names}
+            lineage = {n: member[n] for n in ("path", "package_sha256", "csv_file_name")}
             try:
-                with zipfile.ZipFile(io.BytesIO(file["content"])) as archive:
-                    rows = _package_rows(archive, check_package(archive))
-                    while batch := [{**lineage, **row} for row in itertools.islice(rows, _ROWS_PER_BATCH)]:
-                        yield pa.RecordBatch.from_pylist(batch, schema=_ARROW_SCHEMA)
-            except (ValueError, zipfile.BadZipFile, csv.Error) as problem:
+                if member["error"] is not None:
+                    raise ValueError(member["error"])
+                lineage["csv_sha256"], encoding = _inspect(member["packed"], member["method"], member["crc"])
+                number = 0
+                for columns in table_columns(member["packed"], member["method"], encoding):
+                    size = len(next(iter(columns.values())))
+                    values = {
+                        "row_number": pa.array(range(number, number + size), pa.int64()), "error": pa.nulls(size, pa.string()),
+                        **{n: pa.repeat(pa.scalar(x, pa.string()), size) for n, x in lineage.items()},
+                        **{n: columns[n] if n in columns else pa.repeat(pa.scalar(""), size) for n in v.FACT_COLUMNS},
+                    }
+                    yield pa.RecordBatch.from_arrays([values[n] for n in _ARROW_SCHEMA.names], schema=_ARROW_SCHEMA)
+                    number += size
+            except (ValueError, zlib.error, csv.Error) as problem:
+                lineage.pop("csv_sha256", None)
                 yield pa.RecordBatch.from_pylist([{**lineage, "error": str(problem)}], schema=_ARROW_SCHEMA)
 
 
-def unpack_packages(spark: SparkSession, path: str) -> DataFrame:
-    """Fact rows of the ZIP files under a path, with one ``error`` row per failed package.
+def unpack_files(files: DataFrame) -> DataFrame:
+    """Fact rows of ZIP files given as ``path, package_sha256, content``, with one ``error`` row per failed package.
 
-    A package is checked whole before its first row leaves, so a failed one
-    contributes its error only and never stops the others.
+    Parsed rows are written once to the shared folder.  A package stays all or nothing: rows of a package with any error
+    are left out by a join on the errors, so a failed one contributes its error only and never stops the others.
     """
+    spark = files.sparkSession
+    ship_package(spark)
+    members = files.select("path", "package_sha256", "content").mapInArrow(_members, _MEMBER_SCHEMA)
+    staged = scratch_path(spark, "packages")
+    write_dataset(members.hint("rebalance").mapInArrow(_parse, _FACT_SCHEMA), staged)
+    parsed = spark.read.schema(_FACT_SCHEMA).parquet(staged)
+    first = F.min_by(F.struct("package_sha256", "csv_file_name", "error"), F.coalesce("csv_file_name", F.lit("")))
+    errors = parsed.where(F.col("error").isNotNull()).groupBy("path").agg(first.alias("first")).select("path", "first.*")
+    good = parsed.where(F.col("error").isNull()).join(errors.select("path"), "path", "left_anti")
+    return good.select(*_FACT_SCHEMA.names).unionByName(errors, allowMissingColumns=True)
+
+
+def unpack_packages(spark: SparkSession, path: str) -> DataFrame:
+    """``unpack_files`` for the ZIP files under a path."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -117,7 +258,7 @@ def unpack_packages(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", content_hash(F.col("content")).alias("package_sha256"), "content")
     )
-    return files.mapInArrow(_unpack, _FACT_SCHEMA)
+    return unpack_files(files)
 
 
 def read_fact_text(spark: SparkSession, path: str) -> DataFrame:
