@@ -14,7 +14,7 @@ from tidemark.llm.storage import scratch_path
 
 DOCS = "doc_id long, text string"
 TEXTS = [
-    None, "", " ", "a", "The cat,  sat.\nOn  it", "x   y\n z \n", "tab\there", "été Über, «ça»...", "<|endoftext|> end",
+    None, "", " ", "a", "The cat,  sat.\nOn  it", "x   y\n z \n", "tab\there", "été Über, «ça»...", "<|endoftext|> end", "hello <|endoftext|> world", "in<|endoftext|>side", "<|endoftext|><|endoftext|>x", "at end <|endoftext|>", "<|endoftext", 
     "don't 's 'll", "a\n\nb", "end ", "\x1c \x1c", "word " * 3000, "naïve   x", "日本 語", "a\x00 \x00b",
 ]
 
@@ -22,7 +22,6 @@ TEXTS = [
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [tokens.END_ID]
 
 
@@ -30,20 +29,21 @@ def crc(ids):
     return zlib.crc32(np.asarray(ids, "<u4").tobytes())
 
 
+LIBRARY = Tokenizer.from_file(tokens.vocabulary_path())
 ENCODER = tokens.PieceEncoder(tokens.vocabulary_path(), limit=50)
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=" \n\t'.,!sdtAZéß9_- \x1c語<|>", max_size=40), max_size=4))
+@given(st.lists(st.lists(st.sampled_from([*" \n\t'.,!sdtAZéß9_- \x1c語<|>", "<|endoftext|>"]), max_size=40).map("".join), max_size=4))
 def test_pieces_equal_direct_encoding(texts):
     ids, sizes = ENCODER.encode(texts)
-    expected = [e.ids + [2] for e in ENCODER._tokenizer.encode_batch(texts, add_special_tokens=False)]
+    expected = [e.ids + [2] for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for row in expected for i in row]
     assert sizes.tolist() == [len(row) for row in expected]
 
 
 def test_store_round_trip(spark, frame, plain):
-    rows = [(i * 3 % 17, t, "x") for i, t in enumerate(TEXTS)] + [(50, "again", "x"), (50, "again", "x"), (None, "n", "x")]
+    rows = [(i * 3 % 23, t, "x") for i, t in enumerate(TEXTS)] + [(50, "again", "x"), (50, "again", "x"), (None, "n", "x")]
     path = scratch_path(spark, "store")
     token_store.write_tokens(frame(rows, DOCS + ", shard string"), path)
     stored = token_store.read_tokens(spark, path).collect()

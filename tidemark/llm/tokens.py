@@ -3,7 +3,7 @@
 The vocabulary's splitting rule never joins a space to what stands before it, so
 a text may be encoded piece by piece, cutting before a space, wherever the
 space is not inside a longer run of white space.  Repeated pieces are encoded
-once per worker.  Texts with longer runs of white space are encoded whole.
+once per worker.  Texts with longer runs of white space or with special strings are encoded whole.
 """
 
 from __future__ import annotations
@@ -53,7 +53,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings inside a text are ordinary text
+        # Special strings inside a text are their one token, as the library has it; such texts are encoded whole.
+        names = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._whole = re.compile("|".join([_WIDE_SPACE.pattern, *names]))
         self._model = self._tokenizer.model
         if self._tokenizer.pre_tokenizer.pre_tokenize_str(" aé")[0][0] != " aé".encode().decode("latin-1").translate(_LETTERS):
             raise ValueError("the vocabulary is not byte-level")
@@ -154,7 +156,7 @@ class PieceEncoder:
         codes: list[int] = []
         get = self._pieces.__getitem__
         for text in texts:
-            if _WIDE_SPACE.search(text):
+            if self._whole.search(text):
                 heads.append(text)
                 rows.append((len(codes), 0))
                 continue
