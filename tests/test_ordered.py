@@ -123,3 +123,21 @@ def test_median_of_ties(spark):
     df = spark.createDataFrame([("d", 1, v) for v in values] + [("d", 2, v) for v in (1.0, 4.0)], "date string, quantile int, forward_return double")
     found = {r.quantile: (r["count"], r.median_return) for r in xs.quantile_summary(df).collect()}
     assert found == {1: (999, 1.0), 2: (2, 2.5)}
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "date"])
+def test_quantiles_of_a_date_of_ties_and_nulls(spark, kind):
+    """Half of a date without a score and most of the rest with one score: ranks are plain, and no cell holds much of it."""
+    n = 4000
+    score = F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 40 == 1, F.rand(3)).otherwise(1.5)
+    ticker = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int") * 3) if kind == "date" else F.col("id").cast(kind)
+    data = spark.range(n).select(F.lit("d").alias("date"), ticker.alias("ticker"), score.alias("factor"), F.lit(1).alias("x")).persist()
+    ranks = Window.partitionBy("date", F.col("factor").isNull()).orderBy("factor", "ticker")
+    plain = {r.ticker: r.n for r in data.withColumn("n", F.row_number().over(ranks)).where("factor IS NOT NULL").collect()}
+    got = xs.assign_quantiles(data, n_quantiles=10)
+    rows_ = got.collect()
+    assert len(rows_) == n and all((r["quantile"] is None) == (r.factor is None) for r in rows_)
+    by_rank = sorted((plain[r.ticker], r["quantile"]) for r in rows_ if r.factor is not None)
+    assert [q for _, q in by_rank] == sorted(q for _, q in by_rank) and [sum(q == k for _, q in by_rank) for k in range(1, 11)] == [200] * 10
+    cells = data.where("factor IS NOT NULL").groupBy("factor", ordered.prefix_bucket(data, "ticker")).count().agg(F.max("count")).first()[0]
+    assert cells < n / (8 if kind == "string" else 4)

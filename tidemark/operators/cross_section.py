@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tidemark.functions.numbers import number
 from tidemark.functions.times import to_utc
-from tidemark.operators.ordered import score_bucket, sequence
-from tidemark.operators.quality import reject_if_any, require_columns
+from tidemark.operators.ordered import prefix_bucket, score_bucket, sequence
+from tidemark.operators.quality import require_columns
 from tidemark.session import ensure_checkpoint_dir
 
 # Below these the spread of the residual, or of log size, is rounding noise.
 _SCALE_FLOOR = 1e-12
 _SIZE_FLOOR = 1e-24
+# Parts of the rows of a date that get no quantile.
+_SPREAD = 1024
 
 
 def quantile_levels(n_quantiles: int) -> list[float]:
@@ -54,15 +59,27 @@ def assign_quantiles(
     value = number(F.col(factor))
     usable = value.isNotNull() & F.col(date).isNotNull()
     scored = df.withColumns({"__usable": usable, "__score": value if high_is_good else -value})
-    # Unusable rows have one group per date and get no bucket.
-    order = [F.col("__score").asc(), *[F.col(t).asc() for t in ties]]
-    bucket = score_bucket(F.col("__score"))
-    ranked = sequence(scored, [date, "__usable"], order, bucket, seq="__rank", size="__size")
+    # Equal scores are counted in cells by the start of the first tie column; the cells are ranked with their counts, and
+    # rows are numbered inside their cell.  Rows that get no bucket are spread over cells by a hash.
+    cut = prefix_bucket(df, ties[0]) if ties else F.lit(0)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, MapType)]), F.lit(_SPREAD)).cast("int")
+    kind = scored.select(cut.alias("cut")).schema["cut"].dataType
+    scored = scored.withColumn("__cut", F.when(F.col("__usable"), cut).otherwise(spread.cast(kind)))
+    keys = [date, "__usable", "__score", "__cut"]
+    cells = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    by_score = [F.col("__score").asc(), F.col("__cut").asc()]
+    step = F.struct(score_bucket(F.col("__score")), F.when(~F.col("__usable"), F.col("__cut")))
+    placed = sequence(cells, keys[:2], by_score, step, seq="__last", size="__size", weight=F.col("__n"))
+    placed = placed.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], "__size", (F.col("__last") - F.col("__n")).alias("__base"))
+    inside = Window.partitionBy(*keys).orderBy(*[F.col(t).asc() for t in (ties or keys[2:3])])
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)])
+    ranked = scored.withColumn("__in", F.row_number().over(inside)).join(placed, match, "left")
+    ranked = ranked.withColumn("__rank", F.col("__base") + F.col("__in")).select(*scored.columns, "__rank", "__size")
     number_of = F.lit(1)
     for level in quantile_levels(n_quantiles):
         number_of = number_of + (F.col("__rank") > _rank_edge(F.col("__size"), level)).cast("int")
     label = F.when(F.col("__usable") & (F.col("__size") >= n_quantiles), number_of)
-    return ranked.withColumn(output, label).drop("__usable", "__score", "__rank", "__size")
+    return ranked.withColumn(output, label).drop("__usable", "__score", "__cut", "__rank", "__size")
 
 
 def quantile_summary(
@@ -192,41 +209,51 @@ def portfolio_turnover(
 ) -> DataFrame:
     """Half the sum of absolute weight changes between consecutive dates present.
 
-    Each weight counts as +w on its own date and -w on the next one; a ticker
-    absent on a date has weight zero there.
+    A ticker absent on a date has weight zero there.  Each weight meets the one that its ticker had before it; sums of these
+    steps per pair of dates then tell, by the calendar of all dates present, which of them span a date without the ticker.
+    The input is read once.  With ``strict`` the result fails where a (date, ticker) is repeated or a weight is no number;
+    otherwise repeated weights add up and other ones count as zero.  Rows without a date are left out.
     """
     require_columns(weights, [date, ticker, weight], "weight")
     rows = weights.select(
-        F.col(date).cast("string").alias(date),
-        F.col(ticker).cast("string").alias(ticker),
-        number(F.col(weight)).alias("__w"),
+        F.col(date).cast("string").alias("__to"), F.col(ticker).cast("string").alias("__ticker"), number(F.col(weight)).alias("__w")
+    ).where(F.col("__to").isNotNull())
+    held = rows.groupBy("__ticker", "__to").agg(
+        F.sum("__w").alias("__sum"), F.count(F.lit(1)).alias("__n"), F.count_if(F.col("__w").isNull()).alias("__bad")
     )
+    total = F.coalesce("__sum", F.lit(0.0))
     if strict:
-        versions = rows.groupBy(date, ticker).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__w").isNull()).alias("bad"))
-        totals = versions.agg(
-            F.coalesce(F.sum("bad"), F.lit(0)).alias("non_numeric"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
-        )
-        reject_if_any(totals, "weights")
-
-    # One row per date present: the calendar bounds this window.
-    calendar = Window.orderBy(F.col(date).asc())
-    days = rows.select(date).distinct().withColumns(
-        {"__next": F.lead(date).over(calendar), "__first": F.lag(date).over(calendar).isNull()}
+        broken = F.concat(F.lit("weights: duplicates or non_numeric at "), "__to", F.lit(" "), F.coalesce("__ticker", F.lit("null")))
+        total = F.when((F.col("__n") > 1) | (F.col("__bad") > 0), F.raise_error(broken).cast("double")).otherwise(total)
+    own = Window.partitionBy("__ticker").orderBy("__to")
+    steps = held.select("__ticker", "__to", total.alias("__w")).withColumns(
+        {"__from": F.lag("__to").over(own), "__old": F.coalesce(F.lag("__w").over(own), F.lit(0.0)), "__ends": F.lead("__to").over(own).isNull()}
     )
-    next_day = days.select(F.col(date).alias("__day"), "__next")
-    closing = rows.join(next_day.where(F.col("__next").isNotNull()), F.col(date) == F.col("__day"))
-    moves = rows.select(date, ticker, "__w").unionByName(
-        closing.select(F.col("__next").alias(date), ticker, (-F.col("__w")).alias("__w"))
-    )
-    per_ticker = moves.groupBy(date, ticker).agg(F.sum("__w").alias("__change"))
-    turned = per_ticker.groupBy(date).agg((F.lit(0.5) * F.sum(F.abs("__change"))).alias("turnover"))
-    if include_initial:
-        return turned
-    first_day = days.where("__first").select(F.col(date).alias("__day"))
-    return turned.join(first_day, F.col(date) == F.col("__day"), "left").select(
-        date, F.when(F.col("__day").isNull(), F.col("turnover")).alias("turnover")
+
+    def step(start: Column, end: Column, change: Column, entered: Column, left: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), change.alias("change"), entered.alias("entered"), left.alias("left"))
+
+    w, old, zero = F.col("__w"), F.col("__old"), F.lit(0.0)
+    moved = step(F.col("__from"), F.col("__to"), F.abs(w - old), F.abs(w), F.abs(old))
+    ended = step(F.col("__to"), F.lit(None).cast("string"), zero, zero, F.abs(w))
+    spans = steps.select(F.inline(F.when(F.col("__ends"), F.array(moved, ended)).otherwise(F.array(moved))))
+    sums = spans.groupBy("start", "end").agg(*[F.sum(c).alias(c) for c in ("change", "entered", "left")])
+
+    # One row per pair of dates from here on: the calendar bounds this window.
+    days = F.sort_array(F.collect_set("end").over(Window.partitionBy()))
+    dated = sums.withColumn("days", days)
+    before = F.when(F.array_position("days", F.col("end")) > 1, F.try_element_at("days", (F.array_position("days", F.col("end")) - 1).cast("int")))
+    after = F.try_element_at("days", (F.array_position("days", F.col("start")) + 1).cast("int"))
+    in_value = F.when(F.col("start").eqNullSafe(before), F.col("change")).otherwise(F.col("entered"))
+    skipped = F.col("start").isNotNull() & ~after.eqNullSafe(F.col("end"))
+    parts = F.array(
+        F.struct(F.col("end").alias("day"), in_value.alias("value")), F.struct(F.when(skipped, after).alias("day"), F.col("left").alias("value"))
     )
+    turned = dated.select(F.element_at("days", 1).alias("first"), F.inline(parts)).where(F.col("day").isNotNull())
+    amount = F.lit(0.5) * F.sum("value")
+    if not include_initial:
+        amount = F.when(F.col("day") != F.min("first"), amount)
+    return turned.groupBy("day").agg(amount.alias("turnover")).withColumnRenamed("day", date)
 
 
 def apply_costs(

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampType
 
 _BUCKET, _LOCAL, _BEFORE = "__bucket", "__local", "__before"
 _SEQ, _CHUNK, _HOME = "__seq", "__chunk", "__home"
@@ -52,6 +53,16 @@ def score_bucket(score: Column, steps: int = 32) -> Column:
     return F.when(score.isNull(), F.lit(_NULLS_FIRST)).otherwise(signed)
 
 
+def prefix_bucket(df: DataFrame, name: str, length: int = 2) -> Column:
+    """A bucket that never falls along a column: the start of a text, a step of a number, a period of a date."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, StringType):
+        return F.substring(column, 1, length)
+    if isinstance(kind, NumericType):
+        return score_bucket(column.cast("double"))
+    return calendar_bucket(column) if isinstance(kind, (DateType, TimestampType)) else F.lit(0)
+
+
 def _segment_window(keys: Sequence[str], order: Order) -> WindowSpec:
     return Window.partitionBy(*keys, _BUCKET).orderBy(*order)
 
