@@ -13,6 +13,8 @@ from tidemark import vocabulary as v
 def _literal(value) -> str:
     if value is None:
         return "NULL"
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(map(_literal, value))})"
     if isinstance(value, bool):
         return "true" if value else "false"
     if isinstance(value, (int, float)):
@@ -32,18 +34,14 @@ def metric_aliases(spark: SparkSession, aliases: dict[str, Sequence[str]] | None
 
 
 def document_rules(spark: SparkSession) -> DataFrame:
-    """``doc_type_code, category, priority`` of the filings worth downloading."""
-    rows = [(code, name, rank) for name, (codes, rank) in v.DOCUMENT_RULES.items() for code in codes]
-    return fixed_table(spark, ["doc_type_code", "category", "priority"], rows)
-
-
-def configured_series(spark: SparkSession) -> DataFrame:
-    return fixed_table(spark, ["dataset", "db", "code"], v.MACRO_SERIES)
+    """``doc_type_code, category, priority, download_csv`` per type of filing that has a use."""
+    rows = [(code, name, rank, fetched) for name, (codes, rank, fetched) in v.DOCUMENT_RULES.items() for code in codes]
+    return fixed_table(spark, ["doc_type_code", "category", "priority", "download_csv"], rows)
 
 
 def feature_catalog(spark: SparkSession) -> DataFrame:
-    """``feature, higher_is_better, source_dataset`` of every built feature."""
-    return fixed_table(spark, ["feature", "higher_is_better", "source_dataset"], v.FEATURE_CATALOG)
+    """``feature, higher_is_better, source_datasets`` (a list) and ``description`` of every built feature."""
+    return fixed_table(spark, ["feature", "higher_is_better", "source_datasets", "description"], v.FEATURE_CATALOG)
 
 
 def orient_features(features: DataFrame) -> DataFrame:

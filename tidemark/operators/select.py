@@ -22,16 +22,17 @@ def _work_order() -> list[Column]:
 
 
 def select_documents(documents: DataFrame, rules: DataFrame | None = None, *, ordered: bool = False) -> DataFrame:
-    """Listed documents with a rule for their type, a CSV package and an id.
+    """Listed documents with a rule for their type that fetches packages, a CSV package and an id.
 
-    Adds ``category`` and ``priority``.  ``ordered`` sorts the whole result by
+    Adds ``category``, ``priority`` and ``download_csv``; rules without the latter fetch.  ``ordered`` sorts the whole result by
     (priority, submission, id), which costs a shuffle.
     """
     rules = document_rules(documents.sparkSession) if rules is None else rules
     usable = documents.where(
         (F.col("csv_flag").cast("string") == "1") & F.col("doc_id").isNotNull() & (F.col("doc_id") != "")
     )
-    chosen = usable.join(rules, "doc_type_code")
+    rules = rules if "download_csv" in rules.columns else rules.withColumn("download_csv", F.lit(True))
+    chosen = usable.join(rules.where(F.coalesce("download_csv", F.lit(True))), "doc_type_code")
     return chosen.orderBy(*_work_order()) if ordered else chosen
 
 

@@ -191,8 +191,8 @@ SELECT {day('o_orderdate')} AS file_date, o_orderkey AS seq_number,
        CAST(round(o_totalprice * 100) AS BIGINT) AS cents
 FROM orders""",
     "v_rules": "SELECT * FROM (VALUES "
-    + ", ".join(f"('{c}', '{n}', {p})" for n, (codes, p) in v.DOCUMENT_RULES.items() for c in codes)
-    + ") t(doc_type_code, category, priority)",
+    + ", ".join(f"('{c}', '{n}', {p}, {str(d).lower()})" for n, (codes, p, d) in v.DOCUMENT_RULES.items() for c in codes)
+    + ") t(doc_type_code, category, priority, download_csv)",
     "v_master": f"""
 SELECT month || '-01' AS date, {security('s_suppkey')} AS ticker,
        {security('s_suppkey')} || '0' AS jquants_code, s_name || ' ' || l_linestatus AS company_name,

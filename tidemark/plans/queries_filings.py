@@ -11,6 +11,7 @@ from tidemark.functions import times
 from tidemark.functions.text import content_hash
 from tidemark.operators import changes, normalize, select
 from tidemark.operators.financial import financial_features
+from tidemark.operators.dimensions import document_rules
 from tidemark.plans import adapters
 from tidemark.plans.oracle_views import ROW_ORDER, day, iso
 from tidemark.plans.registry import query, report
@@ -249,12 +250,15 @@ def snk_changed_payloads(spark, sf_dir):
 
 @query(
     "fil_select_documents",
-    """SELECT doc_id, category, priority, submit_datetime FROM v_documents JOIN v_rules USING (doc_type_code)
-       WHERE csv_flag = '1'""",
+    """SELECT doc_id, category, priority, submit_datetime, download_csv::VARCHAR AS download_csv
+       FROM v_documents JOIN (SELECT * REPLACE (category <> 'event' AS download_csv) FROM v_rules) r USING (doc_type_code)
+       WHERE csv_flag = '1' AND download_csv""",
 )
 def fil_select_documents(spark, sf_dir):
-    chosen = select.select_documents(adapters.document_list(spark, sf_dir), ordered=True)
-    return chosen.select("doc_id", "category", "priority", "submit_datetime")
+    """Rules that leave event reports alone."""
+    rules = document_rules(spark).withColumn("download_csv", F.col("category") != "event")
+    chosen = select.select_documents(adapters.document_list(spark, sf_dir), rules, ordered=True)
+    return report(chosen.select("doc_id", "category", "priority", "submit_datetime", "download_csv"))
 
 
 @query(

@@ -365,14 +365,14 @@ def str_revision_batch(spark, sf_dir):
 
 @query(
     "ftr_catalog",
-    f"""SELECT c.feature, c.higher_is_better, c.source_dataset, count(*) AS rows,
+    f"""SELECT c.feature, c.higher_is_better, c.source_datasets, c.description, count(*) AS rows,
         round(sum(CASE WHEN c.higher_is_better = 'true' THEN p.numeric_value ELSE -p.numeric_value END), 2) AS oriented_sum
-        FROM (VALUES {', '.join(f"('{n}', '{str(h).lower()}', '{d}')" for n, h, d in v.FEATURE_CATALOG)})
-             c(feature, higher_is_better, source_dataset)
+        FROM (VALUES {', '.join(f"('{n}', '{str(h).lower()}', '{','.join(d)}', '{t}')" for n, h, d, t in v.FEATURE_CATALOG)})
+             c(feature, higher_is_better, source_datasets, description)
         JOIN (SELECT CASE metric WHEN 'net_income' THEN 'roe' WHEN 'interest_bearing_debt' THEN 'net_debt'
                      WHEN 'cash_and_deposits' THEN 'amihud_20d' WHEN 'net_assets' THEN 'forecast_revision_breadth' END
                      AS feature, numeric_value FROM v_metrics WHERE numeric_value IS NOT NULL) p USING (feature)
-        GROUP BY 1, 2, 3""",
+        GROUP BY 1, 2, 3, 4""",
 )
 def ftr_catalog(spark, sf_dir):
     named = {
@@ -386,4 +386,5 @@ def ftr_catalog(spark, sf_dir):
     oriented = orient_features(rows.dropna()).groupBy("feature").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("oriented_value").alias("oriented_sum")
     )
-    return report(feature_catalog(spark).join(oriented, "feature"), 2)
+    catalog = feature_catalog(spark).withColumn("source_datasets", F.concat_ws(",", "source_datasets"))
+    return report(catalog.join(oriented, "feature"), 2)

@@ -13,7 +13,7 @@ from tidemark.plans.oracle_views import ROW_ORDER, iso
 from tidemark.plans.queries_pit import ADVANCING, hashed
 from tidemark.plans.registry import query, report
 from tidemark.session import scratch_path
-from tidemark.sources import ledger, packages
+from tidemark.sources import ledger, packages, versioned
 from tidemark.sources.datasets import write_dataset
 from tidemark.streaming import change_log, incremental, revisions
 
@@ -165,3 +165,20 @@ def src_packages(spark, sf_dir):
     files = spark.read.schema("path string, content binary").parquet(landed)
     rows = packages.unpack_files(files.withColumn("package_sha256", content_hash(F.col("content"))))
     return rows.select("path", "csv_file_name", "row_number", "element_id", "context_id", "value", "item_name", "error")
+
+
+@query(
+    "snk_replace_documents",
+    """SELECT doc_id, metric, round(numeric_value, 6) AS numeric_value, context_id FROM v_metrics WHERE substr(doc_id, 2)::BIGINT % 10 <> 0
+       UNION ALL SELECT doc_id, metric, round(-numeric_value, 6), context_id FROM v_metrics
+       WHERE substr(doc_id, 2)::BIGINT % 10 = 0 AND context_id <> 'Context1'""",
+)
+def snk_replace_documents(spark, sf_dir):
+    """A table of documents after a tenth of them was written again with fewer and other rows, twice."""
+    rows = adapters.statement_metrics(spark, sf_dir).select("doc_id", "metric", "numeric_value", "context_id")
+    stored = versioned.VersionedTable(spark, scratch_path(spark, "documents"), rows.schema, ["doc_id"])
+    stored.replace_documents(rows)
+    again = rows.where((F.substring("doc_id", 2, 100).cast("long") % 10 == 0) & (F.col("context_id") != "Context1"))
+    for _ in range(2):
+        stored.replace_documents(again.withColumn("numeric_value", -F.col("numeric_value")))
+    return report(stored.read().drop(versioned.BUCKET), 6)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.text import content_hash
-from tidemark.session import ensure_checkpoint_dir
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -88,29 +87,6 @@ def write_dataset(
     writer.parquet(root)
 
 
-def replace_documents(
-    spark: SparkSession, rows: DataFrame, root: str, partition: str, document: str = "doc_id"
-) -> None:
-    """Write documents so that a rerun replaces their earlier rows and keeps all others.
-
-    Only the touched partitions are read and rewritten, after a reliable checkpoint
-    has separated the read from the overwrite.
-    """
-    if not path_exists(spark, root):  # nothing written yet
-        write_dataset(rows, root, [partition])
-        return
-    ensure_checkpoint_dir(spark)
-    stored = read_dataset(spark, root)
-    touched = rows.select(partition).distinct()
-    kept = (
-        stored.withColumn(partition, F.col(partition).cast(rows.schema[partition].dataType))
-        .join(touched, partition, "left_semi")
-        .join(rows.select(document).distinct(), document, "left_anti")
-    )
-    merged = kept.unionByName(rows, allowMissingColumns=True).checkpoint()
-    write_dataset(merged, root, [partition])
-
-
 def document_manifest(metrics: DataFrame, documents: DataFrame, error: Column | None = None) -> DataFrame:
     """Per document: status, rows and the distinct metrics found.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
 from tidemark.functions.text import blank_to_null
-from tidemark.functions.times import iso_z, known_from_update, to_utc, update_day
+from tidemark.functions.times import known_from_update, to_utc, update_day
 from tidemark.operators.normalize import split_rejects
 
 RESPONSE_SCHEMA = """
@@ -88,8 +88,3 @@ def read_series(items: DataFrame, run_id: str) -> tuple[DataFrame, DataFrame]:
         F.lit(run_id).alias("ingestion_run_id"),
     )
     return observations, rejects
-
-
-def to_text_stamps(observations: DataFrame) -> DataFrame:
-    """Stamps as ISO text, for exchange with readers that expect text."""
-    return observations.withColumns({c: iso_z(F.col(c)) for c in ("known_at", "observed_at")})

@@ -107,6 +107,19 @@ class VersionedTable:
         if fs.exists(final) or not fs.rename(aside, final):
             raise RuntimeError(f"commit {commit} of {self.root} exists already")
 
+    def replace_documents(self, rows: DataFrame, document: str = "doc_id", note: str = "") -> None:
+        """Rows of the documents in ``rows`` take the place of their earlier ones; all other documents stay.
+
+        The table's key is the document.  Only the touched buckets are read and written; a rerun gives the same table.
+        """
+        if self.key != (document,):
+            raise ValueError(f"the key of {self.root} is not {document}")
+        placed = rows.withColumn(BUCKET, self.bucket())
+        touched = sorted(r[0] for r in placed.select(BUCKET).distinct().collect())  # no more than there are buckets
+        kept = self.read(touched).join(placed.select(BUCKET, document).distinct(), [BUCKET, document], "left_anti")
+        merged = kept.select(*self.schema.names).unionByName(placed.select(*self.schema.names))
+        self.publish(self.stage(merged.hint("rebalance", BUCKET)), touched, note)
+
     def vacuum(self, keep: int = 2) -> None:
         """Remove what none of the ``keep`` newest commits refers to, and older manifests."""
         commits = self._commits()

@@ -84,13 +84,13 @@ FACT_COLUMNS = (
 )
 REQUIRED_FACT_COLUMNS = ("element_id", "context_id", "value")
 
-# --- document selection: category -> (type codes, priority) ------------------
+# --- document selection: category -> (type codes, priority, whether packages are fetched) ------------------
 DOCUMENT_RULES = {
-    "financial": (("120", "130", "140", "150", "160", "170"), 1),
-    "event": (("180", "190"), 2),
-    "buyback": (("220",), 2),
-    "tender_offer": (("240", "250", "270", "280", "290", "300", "310", "320"), 2),
-    "ownership": (("350", "360"), 1),
+    "financial": (("120", "130", "140", "150", "160", "170"), 1, True),
+    "event": (("180", "190"), 2, True),
+    "buyback": (("220",), 2, True),
+    "tender_offer": (("240", "250", "270", "280", "290", "300", "310", "320"), 2, True),
+    "ownership": (("350", "360"), 1, True),
 }
 BACKFILL_PHASES = {
     "ownership": ("350", "360"),
@@ -217,26 +217,27 @@ FORECAST_FEATURES = {
 BREADTH_FEATURE = "forecast_revision_breadth"
 
 # --- feature name, higher is better, source dataset --------------------------
+# Feature, whether higher is better, source datasets, description.
 FEATURE_CATALOG = (
-    ("momentum_12_1", True, "daily_bars"),
-    ("amihud_20d", False, "daily_bars"),
-    ("avg_trading_value_20d", True, "daily_bars"),
-    ("roe", True, "financial_metrics"),
-    ("roic", True, "financial_metrics"),
-    ("roic_pre_tax_proxy", True, "financial_metrics"),
-    ("fcf_conversion", True, "financial_metrics"),
-    ("buyback_cash_outflow", True, "financial_metrics"),
-    ("buyback_to_equity", True, "financial_metrics"),
-    ("net_debt", False, "financial_metrics"),
-    ("interest_bearing_debt_components_proxy", False, "financial_metrics"),
-    ("net_debt_components_proxy", False, "financial_metrics"),
-    ("forecast_sales_revision_pct", True, "financial_summary"),
-    ("forecast_operating_profit_revision_pct", True, "financial_summary"),
-    ("forecast_ordinary_profit_revision_pct", True, "financial_summary"),
-    ("forecast_net_profit_revision_pct", True, "financial_summary"),
-    ("forecast_eps_revision_pct", True, "financial_summary"),
-    ("forecast_revision_breadth", True, "financial_summary"),
-    ("ownership_ratio_change", True, "ownership_summary"),
+    ("momentum_12_1", True, ("daily_bars",), "Adjusted return from 252 to 21 trading days back; the last month is left out"),
+    ("amihud_20d", False, ("daily_bars",), "Mean of absolute daily return per traded value over 20 trading days; high means illiquid"),
+    ("avg_trading_value_20d", True, ("daily_bars",), "Mean traded value over 20 trading days"),
+    ("roe", True, ("financial_metrics",), "Net income over equity at period end, or over net assets where equity is missing"),
+    ("roic", True, ("financial_metrics",), "Operating income after the reported tax rate over equity plus debt less cash"),
+    ("roic_pre_tax_proxy", True, ("financial_metrics",), "Operating income before tax over equity plus debt less cash"),
+    ("fcf_conversion", True, ("financial_metrics",), "Operating cash flow less absolute capital expenditure, over net income"),
+    ("buyback_cash_outflow", True, ("financial_metrics",), "Absolute cash spent on own shares"),
+    ("buyback_to_equity", True, ("financial_metrics",), "Cash spent on own shares over positive equity"),
+    ("net_debt", False, ("financial_metrics",), "Reported interest-bearing debt less cash"),
+    ("interest_bearing_debt_components_proxy", False, ("financial_metrics",), "Sum of the reported loans, bonds and leases; no reported total"),
+    ("net_debt_components_proxy", False, ("financial_metrics",), "Sum of the reported debt components less cash"),
+    ("forecast_sales_revision_pct", True, ("financial_summary",), "Change of the sales forecast for one fiscal year over the absolute forecast before"),
+    ("forecast_operating_profit_revision_pct", True, ("financial_summary",), "Change of the operating-profit forecast for one fiscal year over the absolute forecast before"),
+    ("forecast_ordinary_profit_revision_pct", True, ("financial_summary",), "Change of the ordinary-profit forecast for one fiscal year over the absolute forecast before"),
+    ("forecast_net_profit_revision_pct", True, ("financial_summary",), "Change of the net-profit forecast for one fiscal year over the absolute forecast before"),
+    ("forecast_eps_revision_pct", True, ("financial_summary",), "Change of the forecast of earnings per share for one fiscal year over the absolute forecast before"),
+    ("forecast_revision_breadth", True, ("financial_summary",), "Mean sign of the changes of all forecasts that can be compared, from -1 to 1"),
+    ("ownership_ratio_change", True, ("ownership_summary",), "Change of the holding ratio of the holder with the largest absolute change in a document"),
 )
 
 # --- alias discovery: target -> keywords -------------------------------------
