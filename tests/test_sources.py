@@ -88,8 +88,8 @@ def test_document_list(spark):
     got = documents.read_document_list(payloads, "run", strict=False).orderBy("seq_number").collect()
     assert [(r.doc_id, r.stock_code, r.known_at) for r in got] == [("S1", "7203", datetime(2024, 5, 10)), ("S2", None, datetime(2024, 5, 10, 6))]
     assert len(got[0]) == 40 and got[0].record_sha256 != got[1].record_sha256
-    with pytest.raises(ValueError):
-        documents.read_document_list(payloads, "run")
+    with pytest.raises(Exception, match="document list: "):
+        documents.read_document_list(payloads, "run").collect()
 
 
 def test_stamp(spark):

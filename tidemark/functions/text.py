@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters stripped from text ends: Unicode white space, the ideographic space
@@ -75,3 +75,11 @@ def is_consolidated(value: Column) -> Column:
 
 def content_hash(value: Column) -> Column:
     return F.sha2(value, 256)
+
+
+def parsed_once(df: DataFrame, name: str, payload: str, schema: str) -> DataFrame:
+    """Add a JSON text as a typed column that is parsed once, however many filters and columns read it.
+
+    The one-element array keeps Spark from moving the parser into each of them.
+    """
+    return df.withColumn(name, F.explode(F.array(F.from_json(payload, schema))))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import to_utc, utc_literal
 from tidemark.operators.ordered import first_of_group
-from tidemark.operators.quality import reject_if_any, require_columns, validate_features, violations
+from tidemark.operators.quality import refused, require_columns, validate_features
 
 Moment = str | date | datetime
 
@@ -25,13 +25,14 @@ def _known_by(moment: Moment, known_at: str) -> Column:
 def filter_asof(df: DataFrame, decision_time: Moment, known_at: str = "known_at", *, strict: bool = True) -> DataFrame:
     """Rows known by the decision time.
 
-    ``strict`` first counts unusable stamps and rejects the whole frame if there
-    are any; without it such rows are merely invisible.
+    With ``strict`` the job that reads an unusable stamp fails; without it such rows are merely invisible.  Either way
+    the input is read once.
     """
     require_columns(df, [known_at], "availability")
+    visible = _known_by(decision_time, known_at)
     if strict:
-        reject_if_any(violations(df, {known_at: to_utc(F.col(known_at)).isNull()}), "unusable availability stamps")
-    return df.where(_known_by(decision_time, known_at))
+        visible = refused({known_at: to_utc(F.col(known_at)).isNull()}, "unusable availability stamps", visible)
+    return df.where(visible)
 
 
 def latest_asof(

@@ -38,6 +38,15 @@ def reject_if_any(counts: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {found}")
 
 
+def refused(checks: Mapping[str, Column], what: str, otherwise: Column) -> Column:
+    """Strict mode in passing: ``otherwise``, or a failure of the job that meets a row which violates a check.
+
+    A condition of this kind is never moved into a scan, so no violating row is skipped.
+    """
+    failed = F.coalesce(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in checks.items()])
+    return F.when(failed.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: "), failed)).cast("boolean")).otherwise(otherwise)
+
+
 def feature_violations(df: DataFrame) -> DataFrame:
     """One row: unparsable availability stamps and repeated feature versions."""
     require_columns(df, FEATURE_COLUMNS, "feature")

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
-from tidemark.functions.text import content_hash
+from tidemark.functions.text import content_hash, parsed_once
 from tidemark.functions.times import jst_text, known_from_filing, to_utc
 from tidemark.operators.changes import record_hash
 from tidemark.operators.normalize import split_rejects
-from tidemark.operators.quality import reject_if_any, violations
+from tidemark.operators.quality import refused
 
 _NUMERIC = ("seqNumber",)
 # All fields are read as text: a number that comes as text must not be lost.
@@ -33,8 +33,8 @@ def _failures() -> dict[str, Column]:
 
 
 def _parsed(payloads: DataFrame) -> DataFrame:
-    body = F.from_json("payload", RESPONSE_SCHEMA)
-    return payloads.withColumns({"__body": body, "payload_sha256": content_hash(F.col("payload"))}).drop("payload")
+    parsed = parsed_once(payloads, "__body", "payload", RESPONSE_SCHEMA)
+    return parsed.withColumn("payload_sha256", content_hash(F.col("payload"))).drop("payload")
 
 
 def document_list_rejects(payloads: DataFrame) -> DataFrame:
@@ -46,12 +46,13 @@ def read_document_list(payloads: DataFrame, run_id: str, *, strict: bool = True)
     """One typed row per listed document, with derived availability and hashes.
 
     ``payloads`` has ``file_date, payload, observed_at, source_url``.  A payload that cannot be read, whose status is
-    not 200 or that has a bad number raises; without ``strict`` it gives no rows here and one in ``document_list_rejects``.
+    not 200 or that has a bad number fails the job that reads it; without ``strict`` it gives no rows here and one in ``document_list_rejects``.
     """
     parsed, failures = _parsed(payloads), _failures()
     if strict:
-        reject_if_any(violations(parsed, failures), "document list")
-    parsed, _ = split_rejects(parsed, failures)
+        parsed = parsed.where(refused(failures, "document list", F.lit(True)))
+    else:
+        parsed, _ = split_rejects(parsed, failures)
     # The outer form keeps Spark from testing the parsed array before exploding it, a second parse.
     records = parsed.withColumn("r", F.explode_outer("__body.results")).where(F.col("r").isNotNull())
     observed = to_utc(F.col("observed_at"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
-from tidemark.functions.text import blank_to_null
+from tidemark.functions.text import blank_to_null, parsed_once
 from tidemark.functions.times import known_from_update, to_utc, update_day
 from tidemark.operators.normalize import split_rejects
 
@@ -37,7 +37,7 @@ def _failures() -> dict[str, Column]:
 
 def series_rejects(payloads: DataFrame) -> DataFrame:
     """Responses that give no series, with ``error``: unreadable, failed, or one page of several."""
-    parsed = payloads.withColumn("__body", F.from_json("payload", RESPONSE_SCHEMA))
+    parsed = parsed_once(payloads, "__body", "payload", RESPONSE_SCHEMA)
     return split_rejects(parsed, _failures())[1].drop("__body")
 
 
@@ -46,7 +46,7 @@ def series_items(payloads: DataFrame) -> DataFrame:
 
     Responses listed by ``series_rejects`` give none.
     """
-    parsed, _ = split_rejects(payloads.withColumn("__body", F.from_json("payload", RESPONSE_SCHEMA)), _failures())
+    parsed, _ = split_rejects(parsed_once(payloads, "__body", "payload", RESPONSE_SCHEMA), _failures())
     # The outer form keeps Spark from testing the parsed array before exploding it, a second parse.
     exploded = parsed.withColumn("item", F.explode_outer("__body.RESULTSET")).drop("payload", "__body")
     exploded = exploded.where(F.col("item").isNotNull())
