@@ -312,3 +312,30 @@ def fact_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey", "l_linenumber", "l_orderkey", "l_partkey", F.col("l_extendedprice").cast("double").alias("l_extendedprice"), "l_returnflag"
     )
     return lines.groupBy("l_suppkey").applyInArrow(_package, "path string, content binary")
+
+
+def research_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Monthly features, labels, exposures and listing master over customers with orders in a month.
+
+    A seventh of the features becomes known too late, furniture makers' outcomes are known at the decision already, and
+    customers with orders of low priority only are not listed.
+    """
+    customers = table(spark, sf_dir, "customer")
+    joined = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    price, month = F.col("o_totalprice"), F.trunc(F.to_date("o_orderdate"), "month")
+    monthly = joined.groupBy(
+        month.alias("month"), F.col("o_custkey"), F.col("c_mktsegment").alias("sector"), F.col("c_acctbal").alias("market_cap")
+    ).agg(F.avg(price).alias("value"), (F.avg(price % 100) / 1000).alias("forward_return"), F.max(F.col("o_orderpriority") != "5-LOW").alias("listed"))
+    monthly = monthly.withColumns({"date": day_text("month"), "ticker": security("o_custkey")})
+    late = F.when(F.col("o_custkey") % 7 == 0, 40).otherwise(0)
+    features = monthly.select(
+        "date", "ticker", F.lit("order_value").alias("feature"), "value",
+        at_six(F.date_add("month", late)).alias("known_at"), at_six("month").alias("observed_at"),
+    )
+    outcome = F.when(F.col("sector") == "FURNITURE", F.col("month")).otherwise(F.add_months("month", 1))
+    labels = monthly.select("date", "ticker", "forward_return", at_six("month").alias("decision_known_at"), at_six(outcome).alias("outcome_known_at"))
+    exposures = monthly.select("date", "ticker", "sector", "market_cap")
+    master = monthly.where("listed").select(
+        F.col("date").alias("Date"), F.concat("ticker", F.lit("0")).alias("Code"), at_six("month").alias("known_at"), at_six("month").alias("observed_at")
+    )
+    return features, labels, exposures, master

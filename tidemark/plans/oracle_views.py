@@ -88,6 +88,11 @@ FROM v_panel""",
 SELECT *, CASE WHEN n >= 5 THEN {quantile('rk', 'n', 5)} END AS quantile,
        CASE WHEN n >= 10 THEN {quantile('rk_down', 'n', 10)} END AS quantile_down
 FROM v_ranked""",
+    "v_research": f"""
+SELECT strftime(o_orderdate, '%Y-%m-01') AS date, {security('o_custkey')} AS ticker, c_mktsegment AS sector, c_acctbal AS market_cap,
+       avg(o_totalprice) AS value, avg(o_totalprice % 100) / 1000 AS forward_return,
+       bool_or(o_orderpriority <> '5-LOW') AS listed, o_custkey % 7 = 0 AS late
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4, o_custkey""",
     "v_weights": """
 SELECT date, ticker, amount / sum(amount) OVER (PARTITION BY date) AS weight
 FROM (SELECT strftime(o_orderdate, '%Y-%m') AS date, c_nationkey::VARCHAR || '-' || c_mktsegment AS ticker,

@@ -256,3 +256,29 @@ def jon_identifier_map(spark, sf_dir):
         F.lit("1998-03-26T06:00:00Z").alias("observed_at"),
     )
     return report(entities.identifier_map(filers, listings))
+
+
+@query(
+    "xsa_research_chain",
+    f"""SELECT date, round(max_by(m, quantile) - min_by(m, quantile), 6) AS long_short_return
+        FROM (SELECT date, quantile, avg(forward_return) AS m
+              FROM (SELECT *, {quantile('rk', 'n', 5)} AS quantile
+                    FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY score, ticker) AS rk, count(*) OVER (PARTITION BY date) AS n
+                          FROM (SELECT *, e / scale AS score
+                                FROM (SELECT *, stddev_pop(e) OVER (PARTITION BY date) AS scale
+                                      FROM (SELECT *, count(*) OVER d AS rows, count(DISTINCT sector) OVER d AS sectors,
+                                                   sqrt(sum(yd * yd) OVER d / count(*) OVER d) AS spread,
+                                                   yd - xd * coalesce(sum(xd * yd) OVER d / nullif(sum(xd * xd) OVER d, 0), 0) AS e
+                                            FROM (SELECT *, value - avg(value) OVER (PARTITION BY date, sector) AS yd,
+                                                         ln(market_cap) - avg(ln(market_cap)) OVER (PARTITION BY date, sector) AS xd
+                                                  FROM v_research WHERE listed AND market_cap > 0) c
+                                            WINDOW d AS (PARTITION BY date)) r) t
+                                WHERE rows >= 10 AND rows > sectors + 1 AND scale > 1e-12 * greatest(1, spread)) z) k
+                    WHERE n >= 5) q
+              WHERE NOT late AND sector <> 'FURNITURE' GROUP BY 1, 2) x GROUP BY 1""",
+)
+def xsa_research_chain(spark, sf_dir):
+    """Universe, neutralisation by sector and size, buckets, labels after the decision, spread."""
+    features, labels, exposures, master = adapters.research_inputs(spark, sf_dir)
+    universe = entities.universe_snapshot(master)
+    return report(research.factor_spread(features, labels, universe=universe, exposures=exposures), 6)
