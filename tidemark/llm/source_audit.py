@@ -175,14 +175,17 @@ def audit(docs: DataFrame, *, min_docs: int = 10, top: int = 10) -> DataFrame:
     Null text, language and source count as empty; an empty text makes its group occur; repeated rows count each time;
     ties of value are ranked by item in UTF-8; other columns are ignored; an empty table gives no row.
     """
-    # Dealt by language and term: what follows up to the kept cells needs no other shuffle.
+    # Dealt by language and term: sums per source and per language follow without another shuffle, and only kept terms are written.
     partial = count_terms(docs).repartition("lang", "term")
-    cells = materialize(partial.groupBy("lang", "term", "source").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")), "audit-cells")
-    by_term = cells.where(F.col("term") != "").groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("lang_docs"))
-    kept = by_term.where(F.col("lang_docs") >= min_docs).drop("lang_docs")
-    used = materialize(cells.drop("docs").join(kept, ["lang", "term"]), "audit-kept")
-
-    occurring = cells.where(F.col("term") == "").select("lang", "source")
+    cells = partial.groupBy("lang", "term", "source").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("lang", "term")
+    cells = cells.withColumns({"lang_count": F.sum("count").over(whole), "lang_docs": F.sum("docs").over(whole)})
+    marked = cells.where((F.col("lang_docs") >= min_docs) | (F.col("term") == "")).drop("docs", "lang_docs")
+    marked = materialize(marked, "audit-kept")
+    used = marked.where(F.col("term") != "")
+
+    occurring = marked.where(F.col("term") == "").select("lang", "source")
+    kept = used.groupBy("lang", "term").agg(F.max("lang_count").alias("lang_count"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_count").alias("lang_total"))
     totals = used.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     zero = F.lit(0).cast("long")
