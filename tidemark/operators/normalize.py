@@ -130,9 +130,6 @@ def ownership_summary(
     require_columns(facts, ["doc_id", "doc_type_code", "element_id", "context_id", "value"], "ownership fact")
     facts, _ = split_facts(facts)
     local, value = local_name(F.col("element_id")), clean(F.col("value"))
-    # A context is substantial when one of these fields has a value in it, so whether a
-    # document has such a context at all is already visible in its facts.
-    evidence = local.isin(*[e for name in _SUBSTANTIAL for e in v.OWNERSHIP_HOLDER_ELEMENTS[name]]) & value.isNotNull()
     key = F.lit(None).cast("string") if source_key is None else source_key
 
     def field_of(elements: Mapping[str, Sequence[str]]) -> Column:
@@ -147,13 +144,11 @@ def ownership_summary(
         earliest(value, row_order).alias("__first"),
         *[earliest(present(facts, name), row_order).alias(name) for name in texts],
         F.min(key).alias("source_parquet_key"),
-        F.max(evidence).alias("__held"),
     )
     documents = by_field.groupBy("doc_id").agg(
         *[F.min(name)["value"].alias(_REPORT_TEXTS[name]) for name in texts],
         *columns_of(v.OWNERSHIP_DOCUMENT_ELEMENTS),
         F.min("source_parquet_key").alias("source_parquet_key"),
-        F.max("__held").alias("__held"),
     )
     documents = documents.withColumns(
         {output: F.lit(None).cast("string") for name, output in _REPORT_TEXTS.items() if name not in texts}
@@ -194,10 +189,11 @@ def ownership_summary(
         *[ratio_number(F.col(name)).alias(name) for name in _PARSED],
         "evidence_element_ids",
     )
-    found = documents.join(holders, "doc_id").withColumn(
-        "holding_ratio_change", F.col("holding_ratio") - F.col("previous_holding_ratio")
-    )
-    bare = documents.where(~F.col("__held")).withColumn(
-        "evidence_element_ids", F.array().cast("array<string>")
+    # A document without holders keeps one row.
+    found = documents.join(holders, "doc_id", "left").withColumns(
+        {
+            "holding_ratio_change": F.col("holding_ratio") - F.col("previous_holding_ratio"),
+            "evidence_element_ids": F.coalesce("evidence_element_ids", F.array().cast("array<string>")),
+        }
     )
-    return found.unionByName(bare, allowMissingColumns=True).select(*OWNERSHIP_COLUMNS)
+    return found.select(*OWNERSHIP_COLUMNS)
