@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
@@ -131,6 +131,18 @@ def hint_matches(
     return top_of_group(matched, ["target"], best, top, "rank")
 
 
+def discovery_report(elements: DataFrame, top: int = 200) -> DataFrame:
+    """The ``top`` unmatched elements by rows, ranked over all targets, behind a row of rank 0 with their whole number.
+
+    That row is labelled ``(total)``; its ``rows`` and ``documents`` are the number of elements and the rows they stand for.
+    """
+    best = elements.select("local_name", "rows", "documents").orderBy(F.col("rows").desc(), F.col("local_name").asc()).limit(top)
+    order = Window.orderBy(F.col("rows").desc(), F.col("local_name").asc())  # over no more than the top
+    ranked = best.withColumn("rank", F.row_number().over(order).cast("long"))
+    total = elements.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("rows"), F.lit(0)).alias("documents"))
+    return total.select(F.lit("(total)").alias("local_name"), "rows", "documents", F.lit(0).cast("long").alias("rank")).unionByName(ranked)
+
+
 def storage_usage(listing: DataFrame, budget_bytes: int = v.STORAGE_BUDGET_BYTES) -> DataFrame:
     """Bytes and objects per first- and second-level path prefix, and in total with a budget level.
 

@@ -109,6 +109,16 @@ def qa_hints(spark, sf_dir):
     return matched.select("target", "local_name", "documents", "rows", F.col("rank").cast("long").alias("rank"))
 
 
+@query(
+    "qa_discovery",
+    f"""SELECT * FROM (SELECT local_name, rows, documents, row_number() OVER (ORDER BY rows DESC, local_name) AS rank FROM ({_UNMATCHED}) e)
+        WHERE rank <= 200
+        UNION ALL SELECT '(total)', count(*), sum(rows)::BIGINT, 0 FROM ({_UNMATCHED}) e""",
+)
+def qa_discovery(spark, sf_dir):
+    return monitor.discovery_report(monitor.unmatched_elements(adapters.statement_facts(spark, sf_dir)))
+
+
 def _listing(spark, sf_dir):
     key = F.col("o_orderkey").cast("string")
     path = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("file"), key)).otherwise(
