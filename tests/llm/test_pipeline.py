@@ -80,4 +80,4 @@ def test_odd_tables(spark, frame, tmp_path):
 def test_registry():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLES) <= set(__spark_entry__.oracle_sql())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
