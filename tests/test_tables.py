@@ -130,7 +130,7 @@ def test_financial_metrics_and_manifest(spark):
          ("A", "120", "x:NetAssets", " ", "n/a", None, None, "2024-06-01", 2), ("B", "120", "x:Other", "c", "1", None, None, "2024-05-02", 0)], FACTS)
     aliases = metric_aliases(spark, {"revenue": ["NetSales"], "sales_twice": ["NetSales"], "net_assets": ["NetAssets"]})
     metrics = normalize.financial_metrics(facts, "run", aliases=aliases, row_order=["n"])
-    assert metrics.columns == list(normalize.METRIC_COLUMNS)
+    assert metrics.columns == list(v.METRIC_COLUMNS)
     assert rows(metrics, "doc_id", "metric", "numeric_value", "context_id", "submit_datetime") == [
         ("A", "net_assets", None, None, "2024-05-01"), ("A", "revenue", -1000.0, "c1", "2024-05-01"), ("A", "sales_twice", -1000.0, "c1", "2024-05-01"),
     ]
@@ -154,7 +154,7 @@ def test_ownership_summary(spark):
         fact("A", "350", "HoldingRatioOfShareCertificatesEtcPerLastReport", "h1", "12％", 9), fact("B", "360", "Name", "c", "nobody", 0),
     ], FACTS)
     got = normalize.ownership_summary(facts, "run", row_order=["n"])
-    assert got.columns == list(normalize.OWNERSHIP_COLUMNS)
+    assert got.columns == list(v.OWNERSHIP_COLUMNS)
     table = {(r.doc_id, r.holder_context_id): r for r in got.collect()}
     assert set(table) == {("A", None), ("A", "h1"), ("B", None)}
     h1 = table["A", "h1"]

@@ -14,45 +14,6 @@ from tidemark.operators.aggregates import earliest, first_present, present
 from tidemark.operators.dimensions import metric_aliases
 from tidemark.operators.quality import require_columns
 
-_STATEMENT_TEXTS = (
-    "doc_type_code", "doc_description", "parent_doc_id", "edinet_code", "sec_code", "stock_code",
-    "filer_name", "period_start", "period_end", "submit_datetime", "known_at", "observed_at",
-)
-_FACT_TEXTS = (
-    "element_id", "item_name", "context_id", "relative_year", "consolidation", "period_type", "unit_id", "unit",
-)
-METRIC_COLUMNS = (
-    "source_id", "dataset", "doc_id", *_STATEMENT_TEXTS, "metric", "element_id", "local_name", "item_name",
-    "context_id", "relative_year", "consolidation", "period_type", "unit_id", "unit", "raw_value",
-    "numeric_value", "source_parquet_key", "ingestion_run_id",
-)
-
-_REPORT_TEXTS = {
-    "doc_type_code": "doc_type_code",
-    "doc_description": "doc_description",
-    "parent_doc_id": "parent_doc_id",
-    "submit_datetime": "submit_datetime",
-    "known_at": "known_at",
-    "observed_at": "observed_at",
-    "edinet_code": "filer_edinet_code",
-    "filer_name": "filer_name",
-    "issuer_edinet_code": "issuer_edinet_code",
-    "subject_edinet_code": "subject_edinet_code",
-}
-_SUBSTANTIAL = ("purpose", "shares_held", "potential_shares", "holding_ratio", "previous_holding_ratio")
-_PARSED = ("shares_held", "potential_shares", "holding_ratio", "previous_holding_ratio")
-OWNERSHIP_COLUMNS = (
-    "source_id", "dataset", "doc_id", "doc_type_code", "doc_description", "document_title",
-    "is_change_report", "is_correction", "parent_doc_id", "submit_datetime", "known_at", "observed_at",
-    "filer_edinet_code", "filer_name", "issuer_edinet_code", "subject_edinet_code", "issuer_name",
-    "issuer_security_code", "issuer_stock_code", "stock_listing", "filing_requirement_date", "filing_date",
-    "clause_of_stipulation", "change_reason", "arrangement_of_filing", "total_filers_joint_holders",
-    "holder_context_id", "holder_name", "purpose", "important_proposal", "shares_held_raw", "shares_held",
-    "potential_shares_raw", "potential_shares", "holding_ratio_raw", "holding_ratio",
-    "previous_holding_ratio_raw", "previous_holding_ratio", "holding_ratio_change", "evidence_element_ids",
-    "source_parquet_key", "ingestion_run_id",
-)
-
 
 def split_rejects(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with an ``error`` text naming the first failed check)."""
@@ -83,18 +44,18 @@ def financial_metrics(
     require_columns(facts, ["doc_id", "element_id", "value", "context_id"], "financial fact")
     facts, _ = split_facts(facts)
     aliases = metric_aliases(facts.sparkSession) if aliases is None else aliases
-    texts = [name for name in _STATEMENT_TEXTS if name in facts.columns]
+    texts = [name for name in v.STATEMENT_TEXTS if name in facts.columns]
     documents = facts.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("__facts"), *[first_present(facts, name, row_order) for name in texts]
     )
     documents = documents.drop("__facts").withColumns(
-        {name: F.lit(None).cast("string") for name in _STATEMENT_TEXTS if name not in texts}
+        {name: F.lit(None).cast("string") for name in v.STATEMENT_TEXTS if name not in texts}
     )
     matched = (
         facts.select(
             "doc_id",
             local_name(F.col("element_id")).alias("local_name"),
-            *[present(facts, name).alias(name) for name in _FACT_TEXTS],
+            *[present(facts, name).alias(name) for name in v.FACT_TEXTS],
             clean(F.col("value")).alias("raw_value"),
             (F.lit(None).cast("string") if source_key is None else source_key).alias("source_parquet_key"),
         )
@@ -110,7 +71,7 @@ def financial_metrics(
                 "ingestion_run_id": F.lit(run_id),
             }
         )
-        .select(*METRIC_COLUMNS)
+        .select(*v.METRIC_COLUMNS)
     )
 
 
@@ -139,19 +100,19 @@ def ownership_summary(
     def columns_of(elements: Mapping[str, Sequence[str]]) -> list[Column]:
         return [F.max(F.when(F.col("__field") == name, F.col("__first.value"))).alias(name) for name in elements]
 
-    texts = [name for name in _REPORT_TEXTS if name in facts.columns]
+    texts = [name for name in v.REPORT_TEXTS if name in facts.columns]
     by_field = facts.groupBy("doc_id", field_of(v.OWNERSHIP_DOCUMENT_ELEMENTS).alias("__field")).agg(
         earliest(value, row_order).alias("__first"),
         *[earliest(present(facts, name), row_order).alias(name) for name in texts],
         F.min(key).alias("source_parquet_key"),
     )
     documents = by_field.groupBy("doc_id").agg(
-        *[F.min(name)["value"].alias(_REPORT_TEXTS[name]) for name in texts],
+        *[F.min(name)["value"].alias(v.REPORT_TEXTS[name]) for name in texts],
         *columns_of(v.OWNERSHIP_DOCUMENT_ELEMENTS),
         F.min("source_parquet_key").alias("source_parquet_key"),
     )
     documents = documents.withColumns(
-        {output: F.lit(None).cast("string") for name, output in _REPORT_TEXTS.items() if name not in texts}
+        {output: F.lit(None).cast("string") for name, output in v.REPORT_TEXTS.items() if name not in texts}
     )
     title = F.coalesce("document_title", "doc_description", F.lit(""))
     documents = documents.withColumns(
@@ -179,14 +140,14 @@ def ownership_summary(
         *columns_of(v.OWNERSHIP_HOLDER_ELEMENTS),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("__elements")))).alias("evidence_element_ids"),
     )
-    holders = contexts.where(F.coalesce(*_SUBSTANTIAL).isNotNull()).select(
+    holders = contexts.where(F.coalesce(*v.SUBSTANTIAL_FIELDS).isNotNull()).select(
         "doc_id",
         clean(F.col("context_id")).alias("holder_context_id"),
         "holder_name",
         "purpose",
         "important_proposal",
-        *[F.col(name).alias(f"{name}_raw") for name in _PARSED],
-        *[ratio_number(F.col(name)).alias(name) for name in _PARSED],
+        *[F.col(name).alias(f"{name}_raw") for name in v.PARSED_FIELDS],
+        *[ratio_number(F.col(name)).alias(name) for name in v.PARSED_FIELDS],
         "evidence_element_ids",
     )
     # A document without holders keeps one row.
@@ -196,4 +157,4 @@ def ownership_summary(
             "evidence_element_ids": F.coalesce("evidence_element_ids", F.array().cast("array<string>")),
         }
     )
-    return found.select(*OWNERSHIP_COLUMNS)
+    return found.select(*v.OWNERSHIP_COLUMNS)

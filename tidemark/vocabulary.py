@@ -267,26 +267,44 @@ DISCOVERY_HINTS = {
     ),
 }
 
-# --- configured macro series: dataset, database, code ------------------------
-MACRO_SERIES = (
-    ("call_rate", "FM01", "STRDCLUCON"),
-    ("usd_jpy", "FM08", "FXERD04"),
-    ("usd_jpy", "FM08", "FXERD05"),
-    ("effective_fx", "FM09", "FX180110001"),
-    ("effective_fx", "FM09", "FX180110002"),
-    ("monetary_base", "MD01", "MABS1AN11"),
-    ("monetary_base_yoy", "MD01", "MABS1AN11@"),
-    ("money_stock_m2", "MD02", "MAM1NAM2M2MO"),
-    ("bank_loans", "MD11", "DLCLAEDBLTTO"),
-    ("corporate_loans", "MD11", "DLCLAEDBLTCO"),
-    ("new_loan_rate_short", "IR04", "DLLR2CIDBNL2"),
-    ("new_loan_rate_long", "IR04", "DLLR2CIDBNL3"),
-    ("producer_price_yoy", "PR01", "PRCG20_2200000000%"),
-    ("services_price_yoy", "PR02", "PRCS20_5200000000%"),
-    ("tankan_large_manufacturing_actual", "CO", "TK99F1000601GCQ01000"),
-    ("tankan_large_manufacturing_forecast", "CO", "TK99F1000601GCQ11000"),
-    ("tankan_large_nonmanufacturing_actual", "CO", "TK99F2000601GCQ01000"),
-    ("tankan_large_nonmanufacturing_forecast", "CO", "TK99F2000601GCQ11000"),
+# --- columns of normalised tables ---------------------------------------------
+STATEMENT_TEXTS = (
+    "doc_type_code", "doc_description", "parent_doc_id", "edinet_code", "sec_code", "stock_code",
+    "filer_name", "period_start", "period_end", "submit_datetime", "known_at", "observed_at",
+)
+FACT_TEXTS = (
+    "element_id", "item_name", "context_id", "relative_year", "consolidation", "period_type", "unit_id", "unit",
+)
+METRIC_COLUMNS = (
+    "source_id", "dataset", "doc_id", *STATEMENT_TEXTS, "metric", "element_id", "local_name", "item_name",
+    "context_id", "relative_year", "consolidation", "period_type", "unit_id", "unit", "raw_value",
+    "numeric_value", "source_parquet_key", "ingestion_run_id",
+)
+
+REPORT_TEXTS = {
+    "doc_type_code": "doc_type_code",
+    "doc_description": "doc_description",
+    "parent_doc_id": "parent_doc_id",
+    "submit_datetime": "submit_datetime",
+    "known_at": "known_at",
+    "observed_at": "observed_at",
+    "edinet_code": "filer_edinet_code",
+    "filer_name": "filer_name",
+    "issuer_edinet_code": "issuer_edinet_code",
+    "subject_edinet_code": "subject_edinet_code",
+}
+SUBSTANTIAL_FIELDS = ("purpose", "shares_held", "potential_shares", "holding_ratio", "previous_holding_ratio")
+PARSED_FIELDS = ("shares_held", "potential_shares", "holding_ratio", "previous_holding_ratio")
+OWNERSHIP_COLUMNS = (
+    "source_id", "dataset", "doc_id", "doc_type_code", "doc_description", "document_title",
+    "is_change_report", "is_correction", "parent_doc_id", "submit_datetime", "known_at", "observed_at",
+    "filer_edinet_code", "filer_name", "issuer_edinet_code", "subject_edinet_code", "issuer_name",
+    "issuer_security_code", "issuer_stock_code", "stock_listing", "filing_requirement_date", "filing_date",
+    "clause_of_stipulation", "change_reason", "arrangement_of_filing", "total_filers_joint_holders",
+    "holder_context_id", "holder_name", "purpose", "important_proposal", "shares_held_raw", "shares_held",
+    "potential_shares_raw", "potential_shares", "holding_ratio_raw", "holding_ratio",
+    "previous_holding_ratio_raw", "previous_holding_ratio", "holding_ratio_change", "evidence_element_ids",
+    "source_parquet_key", "ingestion_run_id",
 )
 
 # --- storage budget ----------------------------------------------------------
